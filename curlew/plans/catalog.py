@@ -77,3 +77,98 @@ curated AS (
   JOIN (SELECT key, min(id) AS id FROM clean GROUP BY key
         HAVING min(label) = max(label)) k ON c.id = k.id
 )"""
+
+
+def metrics10_sql(src: str, groups: list[str], threshold: float = 0.5) -> str:
+    """Oracle SQL for the ten metrics per group over CTE ``src`` with columns
+    ``groups + [y, score]``. AUC by the Mann-Whitney mid-rank sum, AP by a
+    descending running sum; both differ in form from the engine's plan."""
+    g = ", ".join(groups)
+    pg = f"PARTITION BY {g}"
+    t = float(threshold)
+    return f"""
+c_{src} AS (
+  SELECT {g},
+    CAST(count_if(y = 1 AND score >= {t}) AS DOUBLE) AS tp,
+    CAST(count_if(y = 0 AND score >= {t}) AS DOUBLE) AS fp,
+    CAST(count_if(y = 0 AND score < {t}) AS DOUBLE) AS tn,
+    CAST(count_if(y = 1 AND score < {t}) AS DOUBLE) AS fn
+  FROM {src} GROUP BY {g}
+),
+r_{src} AS (
+  SELECT {g}, y,
+    rank() OVER ({pg} ORDER BY score)
+      + (count(*) OVER ({pg}, score) - 1) / CAST(2 AS DOUBLE) AS mr
+  FROM {src}
+),
+auc_{src} AS (
+  SELECT {g},
+    CAST(count_if(y = 1) AS DOUBLE) AS P, CAST(count_if(y = 0) AS DOUBLE) AS N,
+    sum(CASE WHEN y = 1 THEN mr ELSE 0 END) AS rs
+  FROM r_{src} GROUP BY {g}
+),
+t_{src} AS (
+  SELECT {g}, score, count_if(y = 1) AS pos, count_if(y = 0) AS neg
+  FROM {src} GROUP BY {g}, score
+),
+u_{src} AS (
+  SELECT {g}, pos,
+    sum(pos) OVER ({pg} ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp_ge,
+    sum(neg) OVER ({pg} ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp_ge
+  FROM t_{src}
+),
+ap_{src} AS (
+  SELECT {g}, sum(pos * CAST(tp_ge AS DOUBLE) / (tp_ge + fp_ge)) AS apn FROM u_{src} GROUP BY {g}
+),
+m_{src} AS (
+  SELECT {", ".join("c." + x for x in groups)},
+    CAST(c.tp AS BIGINT) AS tp, CAST(c.fp AS BIGINT) AS fp,
+    CAST(c.tn AS BIGINT) AS tn, CAST(c.fn AS BIGINT) AS fn,
+    CASE WHEN a.P > 0 AND a.N > 0 THEN (a.rs - a.P * (a.P + 1) / 2) / (a.P * a.N) END AS ROC_AUC,
+    CASE WHEN a.P > 0 THEN p.apn / a.P END AS PR_AUC,
+    (c.tp + c.tn) / (c.tp + c.fp + c.tn + c.fn) AS Accuracy,
+    CASE WHEN c.tp + c.fn = 0 THEN 0.0 ELSE c.tp / (c.tp + c.fn) END AS Sensitivity,
+    CASE WHEN c.tn + c.fp = 0 THEN 0.0 ELSE c.tn / (c.tn + c.fp) END AS Specificity,
+    sqrt((CASE WHEN c.tp + c.fn = 0 THEN 0.0 ELSE c.tp / (c.tp + c.fn) END)
+       * (CASE WHEN c.tn + c.fp = 0 THEN 0.0 ELSE c.tn / (c.tn + c.fp) END)) AS GMean,
+    CASE WHEN c.tp + c.fp = 0 THEN 0.0 ELSE c.tp / (c.tp + c.fp) END AS Precision,
+    CASE WHEN 2 * c.tp + c.fp + c.fn = 0 THEN 0.0 ELSE 2 * c.tp / (2 * c.tp + c.fp + c.fn) END AS F1,
+    CASE WHEN (c.tp + c.fp) * (c.tp + c.fn) * (c.tn + c.fp) * (c.tn + c.fn) = 0 THEN 0.0
+         ELSE (c.tp * c.tn - c.fp * c.fn)
+              / sqrt((c.tp + c.fp) * (c.tp + c.fn) * (c.tn + c.fp) * (c.tn + c.fn)) END AS MCC,
+    CASE WHEN ((c.tp + c.fp) * (c.tp + c.fn) + (c.fn + c.tn) * (c.fp + c.tn))
+              = (c.tp + c.fp + c.tn + c.fn) * (c.tp + c.fp + c.tn + c.fn) THEN NULL
+         ELSE ((c.tp + c.tn) / (c.tp + c.fp + c.tn + c.fn)
+               - ((c.tp + c.fp) * (c.tp + c.fn) + (c.fn + c.tn) * (c.fp + c.tn))
+                 / ((c.tp + c.fp + c.tn + c.fn) * (c.tp + c.fp + c.tn + c.fn)))
+            / (1 - ((c.tp + c.fp) * (c.tp + c.fn) + (c.fn + c.tn) * (c.fp + c.tn))
+                 / ((c.tp + c.fp + c.tn + c.fn) * (c.tp + c.fp + c.tn + c.fn))) END AS Kappa
+  FROM c_{src} c JOIN auc_{src} a USING ({g}) JOIN ap_{src} p USING ({g})
+)"""
+
+
+SCORED = """
+scored AS (
+  SELECT l_linestatus AS grp, CAST(l_returnflag = 'R' AS INTEGER) AS y, l_discount * 10 AS score
+  FROM lineitem
+)"""
+
+FOLD_PRED = """
+foldpred AS (
+  SELECT l_returnflag AS Descriptor, l_linestatus AS Model,
+    CAST(1 + l_orderkey % 2 AS INTEGER) AS Repeat, CAST(1 + l_linenumber % 5 AS INTEGER) AS Fold,
+    CAST(l_quantity > 25 AS INTEGER) AS y, (l_discount * 10 + l_quantity / 50) / 2 AS score
+  FROM lineitem
+)"""
+
+FOLD_RESULTS = FOLD_PRED + "," + metrics10_sql("foldpred", ["Descriptor", "Model", "Repeat", "Fold"]) + """,
+results AS (SELECT * EXCLUDE (tp, fp, tn, fn) FROM m_foldpred)"""
+
+METRIC_NAMES = ["ROC_AUC", "PR_AUC", "Accuracy", "Sensitivity", "Specificity", "GMean",
+                "Precision", "F1", "MCC", "Kappa"]
+
+SUBJECTS = """
+subj AS (
+  SELECT CAST(user_id % 25 AS INTEGER) AS Subject, event_type AS Model, avg(value) AS value
+  FROM events GROUP BY 1, 2
+)"""

@@ -89,3 +89,26 @@ def scored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("grp"),
         (F.col("l_returnflag") == "R").cast("int").alias("y"),
         (F.col("l_discount") * 10).alias("score"))
+
+
+def fold_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows standing for cross-validation predictions: Descriptor =
+    l_returnflag, Model = l_linestatus, Repeat = 1 + l_orderkey % 2,
+    Fold = 1 + l_linenumber % 5, y = (l_quantity > 25),
+    score = (l_discount * 10 + l_quantity / 50) / 2."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_returnflag").alias("Descriptor"), F.col("l_linestatus").alias("Model"),
+        (1 + F.col("l_orderkey") % 2).cast("int").alias("Repeat"),
+        (1 + F.col("l_linenumber") % 5).cast("int").alias("Fold"),
+        (F.col("l_quantity") > 25).cast("int").alias("y"),
+        ((F.col("l_discount") * 10 + F.col("l_quantity") / 50) / 2).alias("score"))
+
+
+def subject_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balanced repeated-measures table: Subject = user_id % 25,
+    Model = event_type, value = avg(value) per cell (25 x 5 cells)."""
+    ev = table(spark, sf_dir, "events")
+    return (ev.groupBy((F.col("user_id") % 25).cast("int").alias("Subject"),
+                       F.col("event_type").alias("Model"))
+              .agg(F.avg("value").alias("value")))
