@@ -172,3 +172,57 @@ subj AS (
   SELECT CAST(user_id % 25 AS INTEGER) AS Subject, event_type AS Model, avg(value) AS value
   FROM events GROUP BY 1, 2
 )"""
+
+
+DOCS_KEYED = f"""
+dk AS (
+  SELECT *, {TEXT_KEY} AS key
+  FROM (SELECT doc_id AS id, text AS entity, lang, source FROM documents)
+)"""
+
+
+def md5_bit_sql(s: str, nbits: int) -> str:
+    return f"CAST(('0x' || substr(md5({s}), 1, 8))::UBIGINT % {nbits} AS INTEGER)"
+
+
+def word_bits_sql(src: str, name: str, n_lo: int, n_hi: int, nbits: int = 2048) -> str:
+    """CTE ``name``(id, bit): distinct bits of word n-grams of ``src.key``."""
+    parts = []
+    for n in range(n_lo, n_hi + 1):
+        parts.append(f"""SELECT id, array_to_string(words[i:i+{n - 1}], ' ') AS s
+      FROM (SELECT id, words, unnest(range(1, len(words) - {n} + 2)) AS i FROM {name}_w)""")
+    return f"""
+{name}_w AS (SELECT id, list_filter(string_split(key, ' '), lambda x: length(x) > 0) AS words
+             FROM {src} WHERE key IS NOT NULL),
+{name}_s AS ({" UNION ALL ".join(parts)}),
+{name} AS (SELECT DISTINCT id, {md5_bit_sql("s", nbits)} AS bit FROM {name}_s)"""
+
+
+def char_bits_sql(src: str, name: str, k_lo: int, k_hi: int, nbits: int = 2048) -> str:
+    parts = []
+    for k in range(k_lo, k_hi + 1):
+        parts.append(f"""SELECT id, substr(key, i, {k}) AS s
+      FROM (SELECT id, key, unnest(range(1, length(key) - {k} + 2)) AS i FROM {src}
+            WHERE key IS NOT NULL)""")
+    return f"""
+{name}_s AS ({" UNION ALL ".join(parts)}),
+{name} AS (SELECT DISTINCT id, {md5_bit_sql("s", nbits)} AS bit FROM {name}_s)"""
+
+
+def strat_split_sql(src: str, name: str, test_size: float = 0.2, seed: int = 42) -> str:
+    """CTE ``name``(id, split) over ``src``(id, label): per-class quota by
+    largest remainder; first rows in seeded md5 order go to test."""
+    return f"""
+{name}_h AS (SELECT id, label,
+   ('0x' || substr(md5('{seed}|' || CAST(id AS VARCHAR)), 1, 15))::UBIGINT AS h FROM {src}),
+{name}_c AS (SELECT label, count(*) AS n_c FROM {src} GROUP BY label),
+{name}_t AS (SELECT CAST(sum(n_c) AS DOUBLE) AS n,
+   CAST(ceil(CAST({test_size} AS DOUBLE) * sum(n_c)) AS BIGINT) AS nt FROM {name}_c),
+{name}_q0 AS (SELECT label, CAST(n_c * nt AS DOUBLE) / n AS cont FROM {name}_c, {name}_t),
+{name}_q1 AS (SELECT label, floor(cont) AS fl, cont - floor(cont) AS rem FROM {name}_q0),
+{name}_q AS (SELECT label, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, label)
+      <= (SELECT nt FROM {name}_t) - sum(fl) OVER () THEN 1 ELSE 0 END AS quota FROM {name}_q1),
+{name}_r AS (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY h, id) AS rn
+   FROM {name}_h),
+{name} AS (SELECT r.id, r.label, CASE WHEN rn <= quota THEN 'test' ELSE 'train' END AS split
+   FROM {name}_r r JOIN {name}_q USING (label))"""
