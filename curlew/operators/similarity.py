@@ -135,10 +135,13 @@ def tanimoto_pairs(fp: DataFrame, threshold: float, id_col: str = "id", bits_col
 
 
 def similarity_topn(query: DataFrame, target: DataFrame, n: int = 5, id_col: str = "id",
-                    bits_col: str = "bits", nbits: int = 2048, block_rows: int = 2048) -> DataFrame:
+                    bits_col: str = "bits", nbits: int = 2048, block_rows: int = 2048,
+                    metric: str = "tanimoto") -> DataFrame:
     """For each query row, the ``n`` most similar target rows (ties broken by
     smaller target id); fewer when the target has fewer rows. Each block pair
-    emits at most ``n`` candidates per query row; a window keeps the best n."""
+    emits at most ``n`` candidates per query row; a window keeps the best n.
+    ``metric="hamming"`` ranks by smallest |A| + |B| - 2|A n B| instead, and
+    the ``sim`` column then holds that distance."""
     spark = query.sparkSession
 
     def blocked(df, tag):
@@ -166,15 +169,22 @@ def similarity_topn(query: DataFrame, target: DataFrame, n: int = 5, id_col: str
         inter, sim = _tanimoto(_dense(a["__bits"], nbits), _dense(b["__bits"], nbits),
                                a["__n"].to_numpy().astype(np.int64),
                                b["__n"].to_numpy().astype(np.int64))
-        # exact per-row top n of this block: order by (-sim, target id)
-        order = np.lexsort((np.broadcast_to(ids_b, sim.shape), -sim), axis=1)[:, :n]
+        if metric == "hamming":
+            sim = (a["__n"].to_numpy()[:, None] + b["__n"].to_numpy()[None, :]
+                   - 2 * inter).astype(np.float64)
+            key = sim
+        else:
+            key = -sim
+        # exact per-row top n of this block: order by (key, target id)
+        order = np.lexsort((np.broadcast_to(ids_b, sim.shape), key), axis=1)[:, :n]
         r = np.repeat(np.arange(len(a)), order.shape[1])
         c = order.ravel()
         return pd.DataFrame({"qid": a["__id"].to_numpy()[r], "tid": ids_b[c],
                              "inter": inter[r, c].astype(np.int32), "sim": sim[r, c]})
 
     cand = qs.unionByName(ts).groupBy("pid").applyInPandas(block_topn, TOPN_SCHEMA)
-    w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("tid"))
+    first = F.col("sim").asc() if metric == "hamming" else F.col("sim").desc()
+    w = Window.partitionBy("qid").orderBy(first, F.col("tid"))
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
