@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from curlew.session import cut_lineage
+
 PAIR_SCHEMA = "id_a long, id_b long, inter int, sim double"
 TOPN_SCHEMA = "qid long, tid long, inter int, sim double"
 
@@ -51,8 +53,10 @@ def size_blocks(fp: DataFrame, id_col: str, bits_col: str, block_rows: int) -> t
     """Assign ``__blk`` by range of bit count (bands from approximate
     quantiles), splitting crowded bands by id hash. Returns the rows and the
     block metadata [(blk, lo, hi, rows)] sorted by (lo, blk)."""
-    df = fp.select(F.col(id_col).alias("__id"), F.col(bits_col).alias("__bits")) \
-        .withColumn("__n", F.size("__bits"))
+    # the blocking passes (count, quantiles, band sizes, metadata) and the
+    # product all read one reliable checkpoint, not the fingerprint lineage
+    df = cut_lineage(fp.select(F.col(id_col).alias("__id"), F.col(bits_col).alias("__bits"))
+                     .withColumn("__n", F.size("__bits")))
     n = df.count()
     nb = _count_blocks(n, block_rows)
     if nb == 1:
@@ -145,8 +149,8 @@ def similarity_topn(query: DataFrame, target: DataFrame, n: int = 5, id_col: str
     spark = query.sparkSession
 
     def blocked(df, tag):
-        d = df.select(F.col(id_col).alias("__id"), F.col(bits_col).alias("__bits")) \
-            .withColumn("__n", F.size("__bits"))
+        d = cut_lineage(df.select(F.col(id_col).alias("__id"), F.col(bits_col).alias("__bits"))
+                        .withColumn("__n", F.size("__bits")))
         k = _count_blocks(d.count(), block_rows)
         return d.withColumn(tag, F.pmod(F.xxhash64("__id"), F.lit(k)).cast("int")), k
 
