@@ -27,9 +27,10 @@ def q_class_weights(spark, sf):
 def curated_split_fp(spark, sf):
     """Curated labelled documents, stratified 80/20 split, 2-word-shingle
     fingerprints: (id, label, split, bits)."""
-    cur = C.curated_entities(T.labelled_documents(spark, sf)).select("id", "key", "label")
+    from curlew.session import cut_lineage
+    cur = cut_lineage(C.curated_entities(T.labelled_documents(spark, sf)).select("id", "key", "label"))
     sp = SP.stratified_split(cur, "label", "id")
-    return FE.hashed_fingerprint(sp, min_n=2, max_n=2).select("id", "label", "split", "bits")
+    return cut_lineage(FE.hashed_fingerprint(sp, min_n=2, max_n=2).select("id", "label", "split", "bits"))
 
 
 _CUR_FP = "WITH " + CURATED_DOCS + "," + strat_split_sql("(SELECT id, label FROM curated)", "sp") + "," \

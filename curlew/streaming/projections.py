@@ -17,8 +17,9 @@ from curlew.operators import features as FE
 def read_documents_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
     """documents parquet as a file stream (schema taken from the batch table)."""
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    # a file stream watches a folder; keep only the documents file in it
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files) \
-        .parquet(f"{sf_dir}/documents.parquet")
+        .option("pathGlobFilter", "documents*.parquet").parquet(sf_dir)
 
 
 def curate_stream(stream: DataFrame, entity: str = "text", nbits: int = 2048) -> DataFrame:
