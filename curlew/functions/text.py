@@ -74,8 +74,9 @@ def line_notation_rules() -> list[tuple[str, Column]]:
 
 
 def reject_reasons(entity: Column, rules: list[tuple[str, Column]]) -> Column:
-    """array<string> of the names of violated rules; empty = valid.
-    Rules are written against ``__e``; we substitute the entity column by
-    binding through a lambda-free struct access."""
+    """array<string> of the names of violated rules; empty = valid. Rules are
+    written against the column ``__e``, which the caller sets to the entity."""
     flags = [F.when(F.coalesce(pred, F.lit(False)), F.lit(name)) for name, pred in rules]
-    return F.filter(F.array(*flags), lambda x: x.isNotNull())
+    # array_except keeps rule order and stays in generated code (a lambda
+    # filter would be interpreted, losing common-subexpression elimination)
+    return F.array_except(F.array(*flags), F.array(F.lit(None).cast("string")))
