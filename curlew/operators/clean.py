@@ -96,28 +96,25 @@ def curation_funnel(labelled: DataFrame, entity: str = "entity", label: str = "l
                     rules: str = "text", mode: str = "text", **rule_params) -> DataFrame:
     """Long ``(stage, value)`` table: original, after_missing, after_validation,
     after_standardization, after_dedup, after_conflicts (conflicting keys
-    dropped). Two jobs' worth of work in one plan: a row-level conditional
-    count, and the per-key aggregate of ``key_label_stats``."""
-    v = validate_entities(labelled, entity, rules, **rule_params)
-    v = standardize_key(v, entity, mode)
+    dropped). One scan and one shuffle: rows are grouped by key digest (rows
+    without a key form one group, collapsed map-side by partial aggregation)
+    with conditional counts, then the per-key table is summed."""
+    v = standardize_key(validate_entities(labelled, entity, rules, **rule_params), entity, mode)
     present = F.col(label).isNotNull() & F.col(entity).isNotNull()
-    rows = v.agg(
-        F.count(F.lit(1)).cast("double").alias("original"),
-        F.count_if(present).cast("double").alias("after_missing"),
-        F.count_if(present & F.col("is_valid")).cast("double").alias("after_validation"),
-        F.count_if(present & F.col("is_valid") & F.col("key").isNotNull())
-         .cast("double").alias("after_standardization"))
-    clean = v.filter(present & F.col("is_valid") & F.col("key").isNotNull())
-    keys = key_label_stats(clean, "key", label).agg(
-        F.coalesce(F.sum("n_labels"), F.lit(0)).cast("double").alias("after_dedup"),
-        F.count_if(F.col("n_labels") == 1).cast("double").alias("after_conflicts"))
-    stages = ["original", "after_missing", "after_validation", "after_standardization"]
-    long_rows = rows.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("stage"), F.col(s).alias("value")) for s in stages])).alias("r"))
-    long_keys = keys.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("stage"), F.col(s).alias("value"))
-        for s in ["after_dedup", "after_conflicts"]])).alias("r"))
-    return long_rows.unionByName(long_keys).select("r.stage", "r.value")
+    clean = present & F.col("is_valid") & F.col("key").isNotNull()
+    per_key = v.withColumn("__h", key_digest(F.col("key"))).groupBy("__h").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(present).alias("p"),
+        F.count_if(present & F.col("is_valid")).alias("va"), F.count_if(clean).alias("c"),
+        F.count_distinct(F.when(clean, F.col(label))).alias("nl"))
+    stages = ["original", "after_missing", "after_validation", "after_standardization",
+              "after_dedup", "after_conflicts"]
+    tot = per_key.agg(
+        F.sum("n").cast("double").alias("original"), F.sum("p").cast("double").alias("after_missing"),
+        F.sum("va").cast("double").alias("after_validation"),
+        F.sum("c").cast("double").alias("after_standardization"),
+        F.coalesce(F.sum("nl"), F.lit(0)).cast("double").alias("after_dedup"),
+        F.count_if(F.col("nl") == 1).cast("double").alias("after_conflicts"))
+    return tot.unpivot([], stages, "stage", "value")
 
 
 def curated_entities(labelled: DataFrame, entity: str = "entity", label: str = "label",
