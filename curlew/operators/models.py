@@ -170,7 +170,7 @@ def trial_table(spark, models: list[str], n_trials: int, seed: int = 42) -> Data
     """(model, trial, param, value) sampled from the search space by a
     seeded hash uniform u: log-uniform exp(ln lo + u (ln hi - ln lo)),
     uniform float, stepped int lo + step * floor(u * (n_steps + 1))."""
-    rows = [(m, p, *spec, *([None] * (4 - len(spec))))
+    rows = [(m, p, spec[0], *[float(x) for x in spec[1:]], *([None] * (4 - len(spec))))
             for m in models for p, spec in SEARCH_SPACE.get(m, {}).items()]
     sp = spark.createDataFrame(rows, "model string, param string, kind string, lo double, hi double, step double")
     t = sp.withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(n_trials))))
