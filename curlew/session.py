@@ -4,11 +4,15 @@ checkpoint folder used to cut lineage in iterative operators."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
                   app: str = "curlew") -> SparkSession:
@@ -39,7 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     On a cluster, ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) do we create a scratch folder.
+    as is; without it the executors have no folder in common, so this raises.
+    Only a session whose executor is the driver (local tests) gets a scratch
+    folder of its own.
     """
     sc = spark.sparkContext
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -48,17 +54,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if jdir.isDefined():
         return jdir.get()
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="curlew-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", conf_dir) if _settable(spark) else None
     sc.setCheckpointDir(conf_dir)
-    return conf_dir
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
-def _settable(spark: SparkSession) -> bool:
-    try:
-        return spark.conf.isModifiable("spark.checkpoint.dir")
-    except Exception:  # pragma: no cover - older API
-        return False
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors' Python workers, once a session, so that
+    its functions can be imported there whatever their working folder."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parent
+    at = Path(tempfile.mkdtemp(prefix="curlew-pkg-")) / "curlew_pkg.zip"
+    with zipfile.ZipFile(at, "w") as out:
+        for file in sorted(top.rglob("*.py")):
+            out.write(file, file.relative_to(top.parent))
+    sc.addPyFile(str(at))
+    _shipped.add(sc.applicationId)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
