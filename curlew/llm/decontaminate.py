@@ -12,8 +12,8 @@ bound reaches the threshold, where the pivot rule of WAND, with block maxima, sk
 what cannot reach it. All items above the threshold are retrieved, without a top-k.
 
 A retrieved item counts as leaked if the passage holds at least ``min_question`` of
-the five-word shingles of its question and ``min_answer`` of the words of its
-answer (the last sentence of the item, or its last quarter if it has one sentence).
+the five-word shingles of its question (of its words, if it has fewer than five) and
+``min_answer`` of the words of its answer (the last sentence of the item, or its last quarter if it has one sentence).
 
 Only the index is shared with the tasks. It is cut into shards of at most
 ``max_postings`` postings and the texts pass once for each shard; statistics are
@@ -101,7 +101,7 @@ def build_index(items: list[tuple[int, str, dict[str, int], int]], df: dict[str,
         for term, x in impact.items():
             lists[term].append((at, x / own))
         question, answer = split_item(text)
-        index.questions.append((shingles(question), set(answer)))
+        index.questions.append((shingles(question) if len(question) >= SHINGLE else set(question), set(answer)))
     index.bounds = np.zeros((len(lists), max(1, index.blocks)), np.float32)
     for t, (term, rows) in enumerate(sorted(lists.items())):
         index.terms[term] = t
@@ -179,7 +179,7 @@ def search(index: Index, text: str | None, threshold: float, min_question: float
             for item, score in wand(index, distinct.tolist(), blocks, threshold) if len(blocks) else ():
                 if passage is None:
                     part = words[starts[w]:starts[w] + span]
-                    passage = shingles(part), set(part)
+                    passage = shingles(part) | set(part), set(part)
                 question, answer = index.questions[item]
                 q = len(question & passage[0]) / len(question) if question else 1.0
                 o = len(answer & passage[1]) / len(answer) if answer else 1.0

@@ -41,6 +41,7 @@ from curlew.llm.common import seeded_hash, stored
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 _CACHE_LIMIT = 300_000
+_REPEAT = np.uint64(zlib.crc32(b"a word twice"))  # the pair of a word and itself is one feature
 
 
 class _Hashes(dict):
@@ -61,6 +62,7 @@ def features(text: str | None, buckets: int) -> np.ndarray:
     words = TOKEN.findall(text.lower()) if text else []
     one = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
     two = (one[:-1] * np.uint64(0x9E3779B1) + one[1:] * np.uint64(0x85EBCA6B)) >> np.uint64(7)
+    two[one[:-1] == one[1:]] = _REPEAT
     return np.concatenate([one, two]) % np.uint64(buckets)
 
 
@@ -140,7 +142,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, "doc_id long, log_weight double, score double").withColumnRenamed("doc_id", id_col)
 
 
-def cut_from_labels(scored: DataFrame, held: dict[int, int], id_col: str = "doc_id", max_loss: float = 0.002) -> float:
+def cut_from_labels(scored: DataFrame, held: dict[int, int], id_col: str = "doc_id", max_loss: float = 0.001) -> float:
     """The score that best parts held-out good from bad ids (bounded by max_labels)."""
     ids = scored.sparkSession.createDataFrame([(k, g) for k, g in held.items()], "k long, good int")
     rows = scored.join(F.broadcast(ids), F.col(id_col) == F.col("k")).groupBy("k", "good").agg(F.min("score")).toPandas().to_numpy(float).reshape(-1, 3)
@@ -181,7 +183,7 @@ def kth_largest(scored: DataFrame, k: int, col: str = "score") -> float:
 
 
 def decide(docs: DataFrame, labels: DataFrame, k: int | None = None, id_col: str = "doc_id", text_col: str = "text",
-           good_col: str = "good", buckets: int = 1 << 14, max_labels: int = 20_000, max_loss: float = 0.002, seed: int = 7):
+           good_col: str = "good", buckets: int = 1 << 14, max_labels: int = 20_000, max_loss: float = 0.001, seed: int = 7):
     """(scored rows, model, smallest score that is kept)."""
     model, held = fit(docs, labels, id_col, text_col, good_col, buckets, max_labels, seed)
     scored = stored(score(docs, model, id_col, text_col), "quality-scores")
