@@ -37,6 +37,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +48,9 @@ from pyspark.sql import functions as F
 LANES = 4096
 LANE_IDS = 256  # fewer lanes for blocks under LANES * LANE_IDS ids
 BLOCK_IDS = 1 << 20
-SLOTS = 1 << 20  # contexts of order 2
+SLOT_BITS = 18
+SLOTS = 1 << SLOT_BITS  # contexts of order 2
+_SLOT_SHIFT = 32 - SLOT_BITS
 _SCALE = 28  # bits of the mixture's parts
 _WORD = np.uint64(32)
 _LEAST = np.uint64(1 << 32)  # the range is at least this before a step
@@ -58,82 +61,92 @@ _CONF = 15  # largest confidence
 _STATES = (_CONF + 1) * (_CONF + 1) * 2
 
 
+# the change of a context's entry by its confidence (0 to 15) when its guess was wrong, then right
+_CHANGE = np.array([0, 0] + [-((c + 1) // 2) for c in range(2, _CONF + 1)] + [1] * _CONF + [0])
+
+
 class _Model:
     """The adaptive model of one block, over symbols 0..n-1."""
 
     def __init__(self, n: int, lanes: int, bits: int):
         self.n, self.bits = n, bits
         self.counts = np.zeros(n, np.int64)
-        self.seen, self.due = 0, 0
+        self.pending: list[np.ndarray] = []
+        self.seen, self.due, self.step = 0, 0, 0
         # the id that last followed a context and the confidence in it: id * 16 + confidence
-        self.two = np.zeros(SLOTS, np.uint32)
-        self.one = np.zeros(n + 1, np.uint32)
-        # for each state: how often order 0, 2 and 1 were right
-        self.right = np.ones((_STATES, 3), np.int64)
-        self.right[:, 0] = 8
+        self.two = np.zeros(SLOTS, np.int64)
+        self.one = np.zeros(n + 1, np.int64)
+        # how often order 0, 2 and 1 were right, for each state
+        self.right = np.ones((3, _STATES), np.int64)
+        self.right[0] = 8
         state = np.arange(_STATES)
         self.can2, self.can1 = state // 32 > 0, (state // 2 % 16 > 0) & ((state // 32 == 0) | (state % 2 == 0))
-        self.prev, self.prev2 = np.full(lanes, n, np.uint32), np.full(lanes, n, np.uint32)
+        self.prev, self.prev2 = np.full(lanes, n), np.full(lanes, n)
         self._frequencies()
         self._weights()
 
     def _frequencies(self) -> None:
+        if self.pending:
+            self.counts += np.bincount(np.concatenate(self.pending), minlength=self.n)
+            self.pending = []
         spare = (1 << self.bits) - self.n
         freq = 1 + (self.counts * spare // self.seen if self.seen else np.zeros(self.n, np.int64))
         freq[int(self.counts.argmax())] += (1 << self.bits) - int(freq.sum())
         self.freq = freq
         self.cum = np.concatenate([[0], np.cumsum(freq)]).astype(np.uint64)
+        self.next = self.cum[1:]
         self.slots = None
 
     def _weights(self) -> None:
         """Shares of orders 2 and 1 in 2**_SCALE, for each state; order 0 has a 64th at least."""
-        total = self.right.sum(axis=1)
-        share = ((self.right[:, 1:] * 64512) // total[:, None]).astype(np.uint64) << np.uint64(_SCALE - 16)
-        self.part2 = np.where(self.can2, share[:, 0], 0).astype(np.uint64)
-        self.parts = self.part2 + np.where(self.can1, share[:, 1], 0).astype(np.uint64)
+        share = ((self.right[1:] * 64512) // self.right.sum(axis=0)).astype(np.uint64) << np.uint64(_SCALE - 16)
+        self.part2 = share[0] * self.can2
+        self.parts = self.part2 + share[1] * self.can1
 
     def predict(self, m: int):
-        """For the first m lanes: the predictions of orders 2 and 1, and the ends of their shares."""
+        """For the first m lanes: the contexts' entries, the guesses of orders 2 and 1, and the ends of their shares."""
         p1 = self.prev[:m]
-        slot = ((self.prev2[:m] * np.uint32(40503) + p1) * np.uint32(2654435769)) >> np.uint32(12)
-        two, one = self.two[slot], self.one[p1]
-        g2, g1 = two >> np.uint32(4), one >> np.uint32(4)
-        state = ((two & np.uint32(15)) << np.uint32(5)) + ((one & np.uint32(15)) << np.uint32(1)) + (g2 == g1)
-        return slot, two, one, g2, g1, state, self.part2[state], self.parts[state]
+        slot = ((self.prev2[:m] * 40503 + p1) * 2654435769 & 0xFFFFFFFF) >> _SLOT_SHIFT
+        two, one = self.two.take(slot), self.one.take(p1)
+        g2, g1 = two >> 4, one >> 4
+        c2, c1 = two & 15, one & 15
+        state = (c2 << 5) + (c1 << 1) + (g2 == g1)
+        return slot, two, one, c2, c1, g2, g1, state, self.part2.take(state), self.parts.take(state)
 
     def learn(self, ids: np.ndarray, seen, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """``hit2``, ``hit1``: the lanes whose id was coded as the guess of order 2 or 1."""
-        slot, two, one, g2, g1, state, _, _ = seen
+        slot, two, one, c2, c1, g2, g1, state, _, _ = seen
         m = len(ids)
-        was = np.bincount(state * np.uint32(3) + hit2 + hit1 * np.uint32(2), minlength=3 * _STATES)
-        self.right += was.reshape(-1, 3)
-        old = self.right[:, 0] > 1 << 14
-        if old.any():
-            self.right[old] = (self.right[old] + 1) >> 1
-        self._weights()
-        self.two[slot] = self._followed(two, ids, (g2 == ids) & ((two & np.uint32(15)) > 0))
-        self.one[self.prev[:m]] = self._followed(one, ids, (g1 == ids) & ((one & np.uint32(15)) > 0))
-        self.prev2[:m] = self.prev[:m]
-        self.prev[:m] = ids
-        self.counts += np.bincount(ids, minlength=self.n)
+        self.right += np.bincount(state + hit2 * _STATES + hit1 * (2 * _STATES), minlength=3 * _STATES).reshape(3, -1)
+        self.step += 1
+        if self.step < 16 or self.step % 4 == 0:
+            self.right[:, self.right[0] > 1 << 14] >>= 1
+            np.maximum(self.right, 1, out=self.right)
+            self._weights()
+        new = (ids << 4) + 1
+        # of several lanes with one context the last one counts
+        self.two[slot] = self._followed(two, c2, g2 == ids, new)
+        self.one[self.prev[:m]] = self._followed(one, c1, g1 == ids, new)
+        if m == len(self.prev):
+            self.prev2, self.prev = self.prev, ids
+        else:
+            self.prev2[:m] = self.prev[:m]
+            self.prev = np.concatenate([ids, self.prev[m:]])
+        self.pending.append(ids)
         self.seen += m
         if self.seen >= self.due:
             self._frequencies()
             self.due = self.seen + max(m, min(self.seen // 2, 32 * m))
 
     @staticmethod
-    def _followed(old: np.ndarray, ids: np.ndarray, hit: np.ndarray) -> np.ndarray:
-        """Right: one more confidence. Wrong: half of it, and at none the new id. (Of
-        several lanes with one context the last one counts.)"""
-        c = old & np.uint32(15)
-        up = old + (c < _CONF)
-        down = np.where(c > 1, old - (c + np.uint32(1) >> np.uint32(1)), (ids << np.uint32(4)) | np.uint32(1))
-        return np.where(hit, up, down)
+    def _followed(old: np.ndarray, c: np.ndarray, right: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """Right: one more confidence. Wrong: half of it, and the new id at the lowest."""
+        return np.where((c > 1) | right, old + _CHANGE.take(c + right * 16), new)
 
     def symbol_at(self, place: np.ndarray) -> np.ndarray:
         if self.slots is None:
-            self.slots = np.repeat(np.arange(self.n, dtype=np.uint32), self.freq)
-        return self.slots[place]
+            self.slots = np.repeat(np.arange(self.n), self.freq)
+        return self.slots.take(place)
 
 
 class _Coder:
@@ -148,11 +161,12 @@ class _Coder:
         low, span = self.low[:m], self.range[:m]
         low += unit * start
         np.multiply(unit, size, out=span)
-        at = np.flatnonzero((low ^ (low + span - np.uint64(1)) < _LEAST) | (span < _LEAST))
+        at = np.flatnonzero((low ^ (low + (span - np.uint64(1)))) < _LEAST)
+        at = at if int(span.min()) >= _LEAST else np.flatnonzero(((low ^ (low + (span - np.uint64(1)))) < _LEAST) | (span < _LEAST))
         while len(at):
             yield at
             # a narrow range that crosses a word's border ends there
-            l, r = low[at], span[at]
+            l, r = low.take(at), span.take(at)
             settled = (l ^ (l + r - np.uint64(1))) < _LEAST
             r = np.where(settled, np.minimum(r, _LEAST - np.uint64(1)), (~l + np.uint64(1)) & (_LEAST - np.uint64(1)))
             l, r = l << _WORD, r << _WORD
@@ -181,21 +195,18 @@ def _alphabet(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if top >= 1 << 22:
         return np.unique(ids, return_inverse=True)
     there = np.bincount(ids, minlength=top + 1) > 0
-    return np.flatnonzero(there).astype(np.uint32), (np.cumsum(there) - 1).astype(np.uint32)[ids]
+    return np.flatnonzero(there).astype(np.uint32), (np.cumsum(there) - 1).take(ids)
 
 
-def _ranges(model: _Model, ids: np.ndarray, seen):
-    """Start and size of each id in the mixture, and which guess it was coded as."""
-    _, _, _, g2, g1, state, part2, parts = seen
-    hit2 = (g2 == ids) & (part2 > 0)
-    hit1 = (g1 == ids) & (parts > part2) & ~hit2
-    rest = np.uint64(1 << _SCALE) - parts
-    bits = np.uint64(model.bits)
-    start = parts + (model.cum[ids] * rest >> bits)
-    end = parts + (model.cum[ids + np.uint32(1)] * rest >> bits)
-    start = np.where(hit2, np.uint64(0), np.where(hit1, part2, start))
-    end = np.where(hit2, part2, np.where(hit1, parts, end))
-    return start, end - start, hit2, hit1
+def _ranges(model: _Model, ids: np.ndarray, part2: np.ndarray, parts: np.ndarray, hit2: np.ndarray, hit1: np.ndarray):
+    """Start and size of each id in the mixture."""
+    rest, bits = np.uint64(1 << _SCALE) - parts, np.uint64(model.bits)
+    start = (model.cum.take(ids) * rest >> bits) + parts
+    end = (model.next.take(ids) * rest >> bits) + parts
+    guess = hit2 | hit1
+    start = np.where(guess, part2 * hit1, start)
+    end = np.where(guess, np.where(hit2, part2, parts), end)
+    return start, end - start
 
 
 def encode_block(ids: np.ndarray) -> bytes:
@@ -209,7 +220,7 @@ def encode_block(ids: np.ndarray) -> bytes:
     sizes = _lane_sizes(n, lanes)
     steps = int(sizes[0])
     # a row for each step: the t-th id of every lane
-    grid = np.zeros((steps, lanes), np.uint32)
+    grid = np.zeros((steps, lanes), np.int64)
     grid.T[np.arange(steps) < sizes[:, None]] = symbols
     bits = _bits(len(alphabet))
     model, coder = _Model(len(alphabet), lanes, bits), _Coder(lanes)
@@ -220,7 +231,10 @@ def encode_block(ids: np.ndarray) -> bytes:
         m = lanes if t < sizes[-1] else int((sizes > t).sum())
         now = grid[t, :m]
         seen = model.predict(m)
-        start, size, hit2, hit1 = _ranges(model, now, seen)
+        g2, g1, part2, parts = seen[5], seen[6], seen[8], seen[9]
+        hit2 = (g2 == now) & (part2 > 0)
+        hit1 = (g1 == now) & (parts > part2) & ~hit2
+        start, size = _ranges(model, now, part2, parts, hit2, hit1)
         for out in coder.narrow(m, coder.range[:m] >> np.uint64(_SCALE), start, size):
             words[out, used[out]] = coder.low[out] >> _WORD
             used[out] += 1
@@ -253,21 +267,22 @@ def decode_block(payload: bytes) -> np.ndarray:
     here += 2
     sizes = _lane_sizes(n, lanes)
     steps = int(sizes[0])
-    grid = np.zeros((steps, lanes), np.uint32)
+    grid = np.zeros((steps, lanes), np.int64)
     model, coder = _Model(size, lanes, bits), _Coder(lanes)
     whole, shift = np.uint64(1 << _SCALE), np.uint64(bits)
     for t in range(steps):
         m = lanes if t < sizes[-1] else int((sizes > t).sum())
         seen = model.predict(m)
-        _, _, _, g2, g1, _, part2, parts = seen
+        g2, g1, part2, parts = seen[5], seen[6], seen[8], seen[9]
         unit = coder.range[:m] >> np.uint64(_SCALE)
         value = np.minimum((code[:m] - coder.low[:m]) // unit, whole - np.uint64(1))
         # the frequency slot of order 0; lanes that a guess has taken look up slot 0
-        by0 = value >= parts
-        slot = (((np.where(by0, value - parts, np.uint64(0)) + np.uint64(1)) << shift) - np.uint64(1)) // (whole - parts)
-        now = np.where(by0, model.symbol_at(slot), np.where(value < part2, g2, g1))
+        by0, hit2 = value >= parts, value < part2
+        hit1 = ~(by0 | hit2)
+        slot = (((value - parts) * by0 + np.uint64(1) << shift) - np.uint64(1)) // (whole - parts)
+        now = np.where(by0, model.symbol_at(slot.view(np.int64)), np.where(hit2, g2, g1))
         grid[t, :m] = now
-        start, width, hit2, hit1 = _ranges(model, now, seen)
+        start, width = _ranges(model, now, part2, parts, hit2, hit1)
         for out in coder.narrow(m, unit, start, width):
             code[out] = code[out] << _WORD | words[here[out]]
             here[out] += 1
@@ -278,52 +293,78 @@ def decode_block(payload: bytes) -> np.ndarray:
     return ids
 
 
-_PLAIN = re.compile(r"[A-Za-z]+")
-_ONE_MARK = re.compile(r"([^\W\d_]+)([.,;:!?])")
-_CACHE_LIMIT = 400_000
+# letters whose case and form need no table beyond Latin, and one mark after them
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+_BEYOND = re.compile(r"[^\x00-\xff]|<\|")
+_CACHE_LIMIT = 600_000
+
+
+class _Words(dict):
+    """Ids of words as bytes, found once while there is room."""
+
+    def __init__(self, tokenizer):
+        super().__init__({"": b""})
+        self.tokenizer = tokenizer
+        self.model = tokenizer.model
+        self.model._resize_cache(0)  # words come once
+        self.marks = {m: self._ids([m]) for m in ("", *".,;:!?")}
+        # the model's letters for bytes
+        from tokenizers import pre_tokenizers
+
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in [*range(0x61, 0x7B), *range(0xDF, 0x100)]}
+
+    def _ids(self, parts: list[str]) -> bytes:
+        got = self.tokenizer.encode_batch(parts, add_special_tokens=False)
+        return b"".join(np.array(g.ids, "<u4").tobytes() for g in got)
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of a run of small letters, which is one piece for the model."""
+        return array("I", [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha() and word.islower():
+            got = self._letters(word)
+        elif (m := _SIMPLE.fullmatch(word)) is None:
+            got = self._ids([word])
+        else:
+            core = m[1].lower()
+            got = (self[core] if core != word and core in self else self._letters(core)) + self.marks[m[2]]
+            if core != word:
+                self[core] = got[:len(got) - len(self.marks[m[2]])]
+        self[word] = got
+        return got
 
 
 class Encoder:
-    """Encodes texts with a tokenizer file, word by word with a bounded cache.
+    """Encodes texts with a tokenizer file.
 
-    For tokenizers that drop white space and never join what it parts (such as
-    word_bpe_49k), a text's ids are the ids of its space-separated words one after
-    the other, so each different word is tokenized once. ``by_word=False`` encodes
-    whole texts."""
+    ``by_word`` is for tokenizers of the kind of word_bpe_49k, which drop white
+    space, level case, and part letters from marks before the model sees them: the
+    ids of a text are then those of its space-separated words, one after the other,
+    and each different word is tokenized once (in a bounded cache), letters by the
+    tokenizer's model alone. ``by_word=False`` encodes whole texts."""
 
     def __init__(self, path: str, by_word: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = by_word
-        self.cache: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: set[str]) -> None:
-        """Ids of new words: case and one mark after letters are told apart here, as
-        the tokenizer's own rules would."""
-        cache, parts = self.cache, {}
-        for word in words:
-            m = _ONE_MARK.fullmatch(word)
-            parts[word] = tuple(w.lower() if _PLAIN.fullmatch(w) else w for w in (m.groups() if m else (word,)))
-        new = sorted({p for ps in parts.values() for p in ps} - cache.keys())
-        for p, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            cache[p] = np.array(got.ids, "<u4").tobytes()
-        for word, ps in parts.items():
-            cache[word] = b"".join([cache[p] for p in ps])
+        self.words = _Words(self.tokenizer) if by_word else None
 
     def encode(self, texts: list[str | None], end_id: int | None = None) -> list[np.ndarray]:
         end = b"" if end_id is None else struct.pack("<I", end_id)
-        if not self.by_word:
+        if self.words is None:
             got = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
             return [np.frombuffer(np.array(g.ids, "<u4").tobytes() + end, "<u4") for g in got]
-        if len(self.cache) > _CACHE_LIMIT:
-            self.cache = {"": b""}
-        words = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = set().union(*words) - self.cache.keys()
-        if new:
-            self._learn(new)
-        get = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, w)) + end, "<u4") for w in words]
+        if len(self.words) > _CACHE_LIMIT:
+            self.words = _Words(self.tokenizer)
+        get, out = self.words.__getitem__, []
+        for text in texts:
+            text = text or ""
+            if not _BEYOND.search(text):
+                text = text.lower()
+            out.append(np.frombuffer(b"".join(map(get, text.replace("\n", " ").split(" "))) + end, "<u4"))
+        return out
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
