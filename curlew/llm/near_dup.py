@@ -14,11 +14,11 @@ processes, and points are drawn in time order only until all components have one
 Texts with the same words form one group first (by digest, partial sums). The
 signatures of the groups' first texts are banded: 24 bands of 4 components lose a
 pair of similarity 0.8 with probability 3e-6. In each bucket every member is
-verified against the bucket's smallest id on the exact shingle multisets; linked
-texts join classes. Buckets whose members are still in different classes then
-compare those outside the bucket's largest class with all members of other classes, so no
-candidate is left out, while a group of thousands of copies costs as many
-comparisons as it has members, not their square. Classes are connected components
+verified against one hub on the exact shingle multisets; linked texts join classes.
+Buckets whose members are still in different classes then compare those outside the
+bucket's largest class with the members of other classes, unless a bound on their
+overlap rules it out, so no candidate is left out, while a group of thousands of
+copies costs as many comparisons as it has members, not their square. Classes are connected components
 by minimum labels with pointer jumping; each round is a written table.
 
 Defined results: null and empty texts have no words and form one class (equal texts);
@@ -215,6 +215,33 @@ def _verify(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(_verified, "a long, b long, similarity double").where(F.col("similarity") >= threshold)
 
 
+def _counted(batches):
+    for batch in batches:
+        for key, bag in zip(batch.column(0), batch.column(1), strict=True):
+            value, count = np.unique(np.frombuffer(bag.as_py(), np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), key.as_py(), np.int64)), pa.array(value), pa.array(count)], ["id", "shingle", "c"])
+
+
+def _rest(mixed: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """a, b: the pairs of one bucket and two classes that can still reach the
+    threshold. Shingles that no other text of these buckets has cannot be in an overlap, so
+    a text's other shingles bound it; similarity s needs an overlap of s / (1 + s) of
+    both sizes together. Texts whose bound fails against the smallest size in their
+    bucket go first, so a large bucket of texts with edits of their own makes no pairs."""
+    here = mixed.select(F.col("id").alias("h")).distinct()
+    counted = stored(bags.join(here, F.col("id") == F.col("h"), "left_semi").mapInArrow(_counted, "id long, shingle long, c long"), "near-counted")
+    common = counted.groupBy("shingle").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("shingle")
+    most = counted.join(common, "shingle", "left_semi").groupBy("id").agg(F.sum("c").alias("most"))
+    share = F.lit(threshold / (1 + threshold))
+    able = mixed.join(most, "id").where(F.col("most") >= share * (F.col("n") + F.col("least")) - 1e-6)
+    able = stored(able, "near-able")
+    few = able.where("label <> main").select("key", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("most").alias("mu"))
+    other = able.select("key", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"), F.col("most").alias("mv"), "main")
+    can = (F.least("mu", "mv") >= share * (F.col("nu") + F.col("nv")) - 1e-6) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9)
+    meet = few.join(other, "key").where("lu <> lv AND (lv = main OR u < v)").where(can)
+    return meet.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, digest, class_id: a row for each row of ``docs``; ``class_id`` is the
     smallest id of the class. ``docs`` needs an id that is unique and not null."""
@@ -224,11 +251,16 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     groups = stored(signed.groupBy("digest").agg(F.min("doc_id").alias("id")), "near-groups")
     firsts = signed.join(groups.select("id"), F.col("doc_id") == F.col("id")).select("id", "n", "keys")
     member = stored(firsts.select("id", "n", F.explode("keys").alias("key")), "near-buckets")
-    buckets = member.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    inside = stored(member.join(buckets.drop("size"), "key"), "near-members")
-    size = inside.where("id = hub").select("key", F.col("n").alias("hub_n")).groupBy("key").agg(F.max("hub_n").alias("hub_n"))
+    buckets = member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = stored(member.join(buckets, "key"), "near-shared")
+    # the hub of a bucket: the member that meets the most others in all its buckets, as the origin of copies does
+    meets = shared.groupBy("id").agg(F.sum("size").alias("meets"))
+    inside = stored(shared.drop("size").join(meets, "id"), "near-members")
+    hub = inside.groupBy("key").agg(F.max(F.struct("meets", (-F.col("id")).alias("minus"), "n")).alias("hub"))
+    hub = hub.select("key", (-F.col("hub.minus")).alias("hub"), F.col("hub.n").alias("hub_n"))
     fits = F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n") - 1e-9
-    hubs = stored(inside.where("id <> hub").join(size, "key").where(fits).select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "near-hubs")
+    hubs = inside.join(hub, "key").where(F.col("id") != F.col("hub")).where(fits)
+    hubs = stored(hubs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "near-hubs")
     wanted = inside.select(F.col("id").alias("w")).distinct()
     bags = stored(rows.join(wanted, F.col("doc_id") == F.col("w"), "left_semi").mapInArrow(_shingled, "id long, bag binary"), "near-bags")
     links = _verify(hubs, bags, threshold)
@@ -236,16 +268,13 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     labels = components(ids, links, "near")
     # the rest, exactly: in buckets that hold several classes, members outside the largest one meet those of other classes
     marked = inside.select("key", "id", "n").join(labels, "id")
-    per = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    top = per.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", F.col("top.label").alias("main"))
-    mixed = stored(marked.join(top, "key"), "near-mixed")
-    few = mixed.where("label <> main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    all_ = mixed.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), "main")
-    meet = few.join(all_, "key").where("la <> lb AND (lb = main OR a < b)").where(F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9)
-    rest = meet.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(hubs, ["a", "b"], "left_anti")
-    rest = stored(rest, "near-rest")
-    if not rest.isEmpty():
-        labels = components(labels, _verify(rest, bags, threshold), "near2")
+    per = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least"))
+    top = per.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("k"), F.min("least").alias("least")).where("k > 1")
+    mixed = stored(marked.join(top.select("key", F.col("top.label").alias("main"), "least"), "key"), "near-mixed")
+    if not mixed.isEmpty():
+        rest = stored(_rest(mixed, bags, threshold).join(hubs, ["a", "b"], "left_anti"), "near-rest")
+        if not rest.isEmpty():
+            labels = components(labels, _verify(rest, bags, threshold), "near2")
     named = groups.join(labels, "id").select("digest", F.col("label").alias("class_id"))
     return signed.select("doc_id", "digest").join(named, "digest").select(F.col("doc_id").alias(id_col), "digest", "class_id")
 
