@@ -37,11 +37,11 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -295,76 +295,122 @@ def decode_block(payload: bytes) -> np.ndarray:
 
 # letters whose case and form need no table beyond Latin, and one mark after them
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-_BEYOND = re.compile(r"[^\x00-\xff]|<\|")
-_CACHE_LIMIT = 600_000
-
-
-class _Words(dict):
-    """Ids of words as bytes, found once while there is room."""
-
-    def __init__(self, tokenizer):
-        super().__init__({"": b""})
-        self.tokenizer = tokenizer
-        self.model = tokenizer.model
-        self.model._resize_cache(0)  # words come once
-        self.marks = {m: self._ids([m]) for m in ("", *".,;:!?")}
-        # the model's letters for bytes
-        from tokenizers import pre_tokenizers
-
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in [*range(0x61, 0x7B), *range(0xDF, 0x100)]}
-
-    def _ids(self, parts: list[str]) -> bytes:
-        got = self.tokenizer.encode_batch(parts, add_special_tokens=False)
-        return b"".join(np.array(g.ids, "<u4").tobytes() for g in got)
-
-    def _letters(self, word: str) -> bytes:
-        """Ids of a run of small letters, which is one piece for the model."""
-        return array("I", [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.letters))]).tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha() and word.islower():
-            got = self._letters(word)
-        elif (m := _SIMPLE.fullmatch(word)) is None:
-            got = self._ids([word])
-        else:
-            core = m[1].lower()
-            got = (self[core] if core != word and core in self else self._letters(core)) + self.marks[m[2]]
-            if core != word:
-                self[core] = got[:len(got) - len(self.marks[m[2]])]
-        self[word] = got
-        return got
+_CACHE_LIMIT = 700_000
+_CHUNK = 50
 
 
 class Encoder:
     """Encodes texts with a tokenizer file.
 
     ``by_word`` is for tokenizers of the kind of word_bpe_49k, which drop white
-    space, level case, and part letters from marks before the model sees them: the
-    ids of a text are then those of its space-separated words, one after the other,
-    and each different word is tokenized once (in a bounded cache), letters by the
-    tokenizer's model alone. ``by_word=False`` encodes whole texts."""
+    space, level case, part letters from marks before the model sees them, and end
+    each piece with ``</w>``: the ids of a text are then those of its space-separated
+    words, one after the other. Each new word is tokenized once and kept in a cache
+    of two generations, so that frequent words stay when it is full; runs of letters
+    go to the tokenizer without the steps that would not change them.
+    ``by_word=False`` encodes whole texts."""
 
     def __init__(self, path: str, by_word: bool = True):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = _Words(self.tokenizer) if by_word else None
-
-    def encode(self, texts: list[str | None], end_id: int | None = None) -> list[np.ndarray]:
+        self.by_word = by_word
+        self.new: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        if by_word:
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer = normalizers.Sequence([])
+            self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            vocabulary = self.plain.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+            # the model's letters for bytes
+            level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+            self.marks = {m: self._whole([m])[0] for m in ("", *".,;:!?")}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(g.ids, "<u4").tobytes() for g in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _letters(self, runs: list[str]) -> list[bytes]:
+        """Ids of runs of small letters, each of which is one piece for the model."""
+        chunks = [" ".join([r if r.isascii() else r.translate(self.letters) for r in runs[a:a + _CHUNK]]) for a in range(0, len(runs), _CHUNK)]
+        ids = np.concatenate([np.array(g.ids, "<u4") for g in self.plain.encode_batch_fast(chunks, add_special_tokens=False)])
+        ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(ends) != len(runs):
+            return self._whole(runs)
+        body = ids.tobytes()
+        return [body[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+    def _learn(self, words: list[str]) -> None:
+        new, old, marks = self.new, self.old, self.marks
+        runs, marked, other = [], [], []
+        for word in words:
+            if (got := old.get(word)) is not None:
+                new[word] = got
+                continue
+            if word.isalpha():
+                core, mark = word, ""
+            else:
+                core, mark = word[:-1], word[-1]
+            if not (core.isascii() and core.isalpha() and mark in marks):
+                m = _SIMPLE.fullmatch(word)
+                if m is None:
+                    other.append(word)
+                    continue
+                core, mark = m.groups()
+            core = core.lower()
+            if core != word:
+                marked.append((word, core, mark))
+            if core not in new:
+                if (got := old.get(core)) is not None:
+                    new[core] = got
+                else:
+                    runs.append(core)
+        runs = list(dict.fromkeys(runs))
+        if runs:
+            new.update(zip(runs, self._letters(runs), strict=True))
+        if other:
+            new.update(zip(other, self._whole(other), strict=True))
+        for word, core, mark in marked:
+            new[word] = new[core] + marks[mark]
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the number of each text's."""
         end = b"" if end_id is None else struct.pack("<I", end_id)
-        if self.words is None:
-            got = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
-            return [np.frombuffer(np.array(g.ids, "<u4").tobytes() + end, "<u4") for g in got]
-        if len(self.words) > _CACHE_LIMIT:
-            self.words = _Words(self.tokenizer)
-        get, out = self.words.__getitem__, []
-        for text in texts:
-            text = text or ""
-            if not _BEYOND.search(text):
-                text = text.lower()
-            out.append(np.frombuffer(b"".join(map(get, text.replace("\n", " ").split(" "))) + end, "<u4"))
-        return out
+        texts = pc.fill_null(texts, "")
+        if not self.by_word:
+            got = [g + end for g in self._whole(texts.to_pylist())]
+            return np.frombuffer(b"".join(got), "<u4"), np.array([len(g) // 4 for g in got], np.int64)
+        if len(self.new) > _CACHE_LIMIT:
+            self.old, self.new = self.new, {"": b""}
+        # where lower case is a matter of single letters and no special token stands, it joins words of a sentence's start with the others
+        simple = pc.invert(pc.match_substring_regex(texts, "[^\\x{0}-\\x{ff}]|<\\|"))
+        texts = pc.if_else(simple, pc.utf8_lower(texts), texts)
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        per_text = np.diff(words.offsets.to_numpy())
+        coded = words.flatten().dictionary_encode()
+        # no word holds a space
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary), " ")
+        different = joined[0].as_py().split(" ")
+        ids = list(map(self.new.get, different))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        if gaps:
+            self._learn([different[i] for i in gaps])
+            for i in gaps:
+                ids[i] = self.new[different[i]]
+        ids.append(end)
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start = np.cumsum(length) - length
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        # each text is its words and the end id
+        index = np.insert(coded.indices.to_numpy().astype(np.int64), np.cumsum(per_text), len(different))
+        size = length.take(index)
+        upto = np.cumsum(size)
+        where = np.repeat(start.take(index) - (upto - size), size)
+        where += np.arange(len(where))
+        totals = np.diff(upto.take(np.cumsum(per_text + 1) - 1), prepend=0)
+        return flat.take(where), totals
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
@@ -389,25 +435,39 @@ def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int):
         from pyspark import TaskContext
 
         file, number = TaskContext.get().partitionId(), 0
+        encoder = _encoder(path, by_word)
         keys: list = []
         held: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
         size = 0
 
         def block():
-            row = [file, number, size, keys, [len(x) for x in held], encode_block(np.concatenate(held))]
+            lengths = np.concatenate(counts)
+            row = [file, number, size, keys, lengths.tolist(), encode_block(np.concatenate(held))]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
 
-        encoder = _encoder(path, by_word)
         for batch in batches:
-            for a in range(0, batch.num_rows, 128):
-                part = batch.slice(a, 128)
-                for key, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist(), end_id), strict=True):
-                    if size and size + len(ids) > block_ids:
-                        yield block()
-                        keys, held, size, number = [], [], 0, number + 1
-                    keys.append(key)
-                    held.append(ids)
-                    size += len(ids)
+            for a in range(0, batch.num_rows, 2048):
+                part = batch.slice(a, 2048)
+                names = part.column(0).to_pylist()
+                ids, totals = encoder.encode(part.column(1), end_id)
+                ends = np.cumsum(totals)
+                first = 0
+                while first < len(names):
+                    # as many texts as the block has room for, but one at least
+                    done = int(ends[first - 1]) if first else 0
+                    last = int(np.searchsorted(ends, done + block_ids - size, side="right"))
+                    if last <= first:
+                        if size:
+                            yield block()
+                            keys, held, counts, size, number = [], [], [], 0, number + 1
+                            continue
+                        last = first + 1
+                    keys += names[first:last]
+                    held.append(ids[done:int(ends[last - 1])])
+                    counts.append(totals[first:last])
+                    size += int(ends[last - 1]) - done
+                    first = last
         if keys:
             yield block()
     return run
@@ -418,7 +478,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     """Write the ids of all documents, in ascending order of id, as a corpus of blocks."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_last()).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
+    # the borders of the files come from the ids alone, so the texts are read once
+    borders = rows.agg(F.percentile_approx("doc_id", [k / files for k in range(1, files)], 100_000)).first()[0] if files > 1 else None
+    file = F.lit(0)
+    if borders:
+        file = F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(borders))]), lambda b: b < F.col("doc_id"))), F.lit(0))
+        file = F.when(F.col("doc_id").isNull(), files - 1).otherwise(file)
+    dealt = rows.repartitionById(files, file.cast("int")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
     dealt.mapInArrow(_block_writer(tokenizer, end_id, by_word, block_ids), BLOCKS).write.option("compression", "none").parquet(path)
 
 
