@@ -12,12 +12,12 @@ probability of their weighted Jaccard similarity. A shingle of count w costs log
 processes, and points are drawn in time order only until all components have one.
 
 Texts with the same words form one group first (by digest, partial sums). The
-signatures of the groups' first texts are banded: 24 bands of 4 components lose a
-pair of similarity 0.8 with probability 3e-6. In each bucket every member is
+signatures of the groups' first texts are banded: 40 bands of 6 components lose a
+pair of similarity 0.8 with probability 5e-6. In each bucket every member is
 verified against one hub on the exact shingle multisets; linked texts join classes.
-Buckets whose members are still in different classes then compare those outside the
-bucket's largest class with the members of other classes, unless a bound on their
-overlap rules it out, so no candidate is left out, while a group of thousands of
+Buckets whose members are still in different classes do so with a second and third hub, and
+then compare those outside the bucket's largest class with the members of other classes,
+unless a bound on their overlap rules it out, so no candidate is left out, while a group of thousands of
 copies costs as many comparisons as it has members, not their square. Classes are connected components
 by minimum labels with pointer jumping; each round is a written table.
 
@@ -40,7 +40,9 @@ from pyspark.sql import functions as F
 from curlew.llm.common import fresh, ordered_position, stored
 
 SHINGLE = 5
-BANDS, ROWS = 24, 4
+BANDS, ROWS = 40, 6
+#: Rounds of second hubs before the rest is compared.
+HUB_ROUNDS = 2
 COMPONENTS = BANDS * ROWS
 _CACHE_LIMIT = 300_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -222,15 +224,34 @@ def _counted(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), key.as_py(), np.int64)), pa.array(value), pa.array(count)], ["id", "shingle", "c"])
 
 
+def _mixed(inside: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold several classes, with the bucket's largest
+    class (main) and smallest size (least)."""
+    marked = inside.join(labels, "id")
+    per = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least"))
+    top = per.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("k"), F.min("least").alias("least")).where("k > 1")
+    return stored(marked.join(top.select("key", F.col("top.label").alias("main"), "least"), "key"), "near-mixed")
+
+
+def _second_hubs(mixed: DataFrame, threshold: float) -> DataFrame:
+    """a, b: each bucket's member outside its largest class that meets the most, with the members of other classes."""
+    hub = mixed.where("label <> main").groupBy("key").agg(F.max(F.struct("meets", (-F.col("id")).alias("minus"), "n", "label")).alias("h"))
+    hub = hub.select("key", (-F.col("h.minus")).alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.label").alias("hub_label"))
+    fits = F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n") - 1e-9
+    pairs = mixed.join(hub, "key").where((F.col("label") != F.col("hub_label")) & fits)
+    return pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+
+
 def _rest(mixed: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     """a, b: the pairs of one bucket and two classes that can still reach the
-    threshold. Shingles that no other text of these buckets has cannot be in an overlap, so
+    threshold. Shingles that no text of another class has cannot be in such an overlap, so
     a text's other shingles bound it; similarity s needs an overlap of s / (1 + s) of
     both sizes together. Texts whose bound fails against the smallest size in their
     bucket go first, so a large bucket of texts with edits of their own makes no pairs."""
-    here = mixed.select(F.col("id").alias("h")).distinct()
-    counted = stored(bags.join(here, F.col("id") == F.col("h"), "left_semi").mapInArrow(_counted, "id long, shingle long, c long"), "near-counted")
-    common = counted.groupBy("shingle").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("shingle")
+    here = mixed.select(F.col("id").alias("h"), "label").distinct()
+    counted = bags.join(here.select("h"), F.col("id") == F.col("h"), "left_semi").mapInArrow(_counted, "id long, shingle long, c long")
+    counted = stored(counted.join(here, F.col("id") == F.col("h")).drop("h"), "near-counted")
+    common = counted.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
     most = counted.join(common, "shingle", "left_semi").groupBy("id").agg(F.sum("c").alias("most"))
     share = F.lit(threshold / (1 + threshold))
     able = mixed.join(most, "id").where(F.col("most") >= share * (F.col("n") + F.col("least")) - 1e-6)
@@ -266,15 +287,18 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     links = _verify(hubs, bags, threshold)
     ids = groups.select("id", F.col("id").alias("label"))
     labels = components(ids, links, "near")
-    # the rest, exactly: in buckets that hold several classes, members outside the largest one meet those of other classes
-    marked = inside.select("key", "id", "n").join(labels, "id")
-    per = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least"))
-    top = per.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("k"), F.min("least").alias("least")).where("k > 1")
-    mixed = stored(marked.join(top.select("key", F.col("top.label").alias("main"), "least"), "key"), "near-mixed")
-    if not mixed.isEmpty():
-        rest = stored(_rest(mixed, bags, threshold).join(hubs, ["a", "b"], "left_anti"), "near-rest")
-        if not rest.isEmpty():
-            labels = components(labels, _verify(rest, bags, threshold), "near2")
+    done = hubs
+    for n in range(HUB_ROUNDS + 1):
+        mixed = _mixed(inside, labels)
+        if mixed.isEmpty():
+            break
+        # second hubs, each outside the largest class of its bucket; at last the rest, exactly
+        pairs = _second_hubs(mixed, threshold) if n < HUB_ROUNDS else _rest(mixed, bags, threshold)
+        pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "near-pairs")
+        if pairs.isEmpty():
+            continue
+        labels = components(labels, _verify(pairs, bags, threshold), f"near-{n}")
+        done = stored(done.unionByName(pairs), "near-done")
     named = groups.join(labels, "id").select("digest", F.col("label").alias("class_id"))
     return signed.select("doc_id", "digest").join(named, "digest").select(F.col("doc_id").alias(id_col), "digest", "class_id")
 
