@@ -167,8 +167,25 @@ def _sign(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "digest", "n", "keys"])
 
 
-def _shingled(batches):
+#: Bits of the filter that tells which texts may be wanted (1 MB).
+_FILTER = 1 << 23
+
+
+def _wanted(ids: DataFrame) -> np.ndarray:
+    """A filter over hashes of the ids, of a fixed size: the texts are read where
+    they lie and those that no bucket holds are mostly passed by."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(_FILTER))
+    words = ids.groupBy((slot / 32).cast("int").alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(id), {_FILTER}), 32) as int))")).alias("bits"))
+    got = words.toPandas()
+    out = np.zeros(_FILTER // 32, np.uint32)
+    out[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def _shingled(batches, bits):
     for batch in batches:
+        slot = batch.column(2).to_numpy()
+        batch = batch.filter(pa.array((bits[slot // 32] >> (slot % 32).astype(np.uint32)) & np.uint32(1) == 1))
         sets = [np.sort(shingle_hashes(_split(t))).view(np.int64) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "bag"])
 
@@ -209,12 +226,12 @@ def components(nodes: DataFrame, edges: DataFrame, name: str = "near") -> DataFr
         labels = stored(labels.join(moves, F.col("label") == F.col("la"), "left").select("id", F.coalesce("to", "label").alias("label")), f"{name}-labels")
 
 
-def _verify(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
-    """a, b, similarity of the pairs that reach the threshold."""
+def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """a, b, similarity of the pairs, on the exact multisets."""
     left = bags.select(F.col("id").alias("a"), F.col("bag").alias("bag_a"))
     right = bags.select(F.col("id").alias("b"), F.col("bag").alias("bag_b"))
     rows = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "bag_a", "bag_b")
-    return rows.mapInArrow(_verified, "a long, b long, similarity double").where(F.col("similarity") >= threshold)
+    return rows.mapInArrow(_verified, "a long, b long, similarity double")
 
 
 def _counted(batches):
@@ -242,12 +259,14 @@ def _second_hubs(mixed: DataFrame, threshold: float) -> DataFrame:
     return pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
 
 
-def _rest(mixed: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+def _rest(mixed: DataFrame, bags: DataFrame, sims: DataFrame, threshold: float) -> DataFrame:
     """a, b: the pairs of one bucket and two classes that can still reach the
     threshold. Shingles that no text of another class has cannot be in such an overlap, so
     a text's other shingles bound it; similarity s needs an overlap of s / (1 + s) of
     both sizes together. Texts whose bound fails against the smallest size in their
-    bucket go first, so a large bucket of texts with edits of their own makes no pairs."""
+    bucket go first, so a large bucket of texts with edits of their own makes no pairs.
+    1 - similarity is a metric, so two texts whose similarities to the bucket's hub are
+    further apart than 1 - threshold cannot be that near either."""
     here = mixed.select(F.col("id").alias("h"), "label").distinct()
     counted = bags.join(here.select("h"), F.col("id") == F.col("h"), "left_semi").mapInArrow(_counted, "id long, shingle long, c long")
     counted = stored(counted.join(here, F.col("id") == F.col("h")).drop("h"), "near-counted")
@@ -255,10 +274,12 @@ def _rest(mixed: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     most = counted.join(common, "shingle", "left_semi").groupBy("id").agg(F.sum("c").alias("most"))
     share = F.lit(threshold / (1 + threshold))
     able = mixed.join(most, "id").where(F.col("most") >= share * (F.col("n") + F.col("least")) - 1e-6)
-    able = stored(able, "near-able")
-    few = able.where("label <> main").select("key", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("most").alias("mu"))
-    other = able.select("key", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"), F.col("most").alias("mv"), "main")
-    can = (F.least("mu", "mv") >= share * (F.col("nu") + F.col("nv")) - 1e-6) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9)
+    known = sims.select(F.col("a").alias("p"), F.col("b").alias("q"), "similarity")
+    able = able.join(known, (F.least("id", "center") == F.col("p")) & (F.greatest("id", "center") == F.col("q")), "left")
+    able = stored(able.withColumn("near", F.when(F.col("id") == F.col("center"), 1.0).otherwise(F.col("similarity"))), "near-able")
+    few = able.where("label <> main").select("key", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("most").alias("mu"), F.col("near").alias("su"))
+    other = able.select("key", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"), F.col("most").alias("mv"), F.col("near").alias("sv"), "main")
+    can = F.coalesce(F.abs(F.col("su") - F.col("sv")) <= 1 - threshold + 1e-9, F.lit(True)) & (F.least("mu", "mv") >= share * (F.col("nu") + F.col("nv")) - 1e-6) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9)
     meet = few.join(other, "key").where("lu <> lv AND (lv = main OR u < v)").where(can)
     return meet.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
 
@@ -282,9 +303,13 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     fits = F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n") - 1e-9
     hubs = inside.join(hub, "key").where(F.col("id") != F.col("hub")).where(fits)
     hubs = stored(hubs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "near-hubs")
-    wanted = inside.select(F.col("id").alias("w")).distinct()
-    bags = stored(rows.join(wanted, F.col("doc_id") == F.col("w"), "left_semi").mapInArrow(_shingled, "id long, bag binary"), "near-bags")
-    links = _verify(hubs, bags, threshold)
+    bits = docs.sparkSession.sparkContext.broadcast(_wanted(inside.select("id")))
+    slots = rows.withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(_FILTER)).cast("long"))
+    bags = stored(slots.mapInArrow(lambda batches: _shingled(batches, bits.value), "id long, bag binary"), "near-bags")
+    # all similarities to the hubs are kept: they bound those of the rest
+    sims = stored(_similar(hubs, bags), "near-sims")
+    inside = stored(inside.join(hub.select("key", F.col("hub").alias("center")), "key"), "near-inside")
+    links = sims.where(F.col("similarity") >= threshold)
     ids = groups.select("id", F.col("id").alias("label"))
     labels = components(ids, links, "near")
     done = hubs
@@ -293,11 +318,11 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
         if mixed.isEmpty():
             break
         # second hubs, each outside the largest class of its bucket; at last the rest, exactly
-        pairs = _second_hubs(mixed, threshold) if n < HUB_ROUNDS else _rest(mixed, bags, threshold)
+        pairs = _second_hubs(mixed, threshold) if n < HUB_ROUNDS else _rest(mixed, bags, sims, threshold)
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "near-pairs")
         if pairs.isEmpty():
             continue
-        labels = components(labels, _verify(pairs, bags, threshold), f"near-{n}")
+        labels = components(labels, _similar(pairs, bags).where(F.col("similarity") >= threshold), f"near-{n}")
         done = stored(done.unionByName(pairs), "near-done")
     named = groups.join(labels, "id").select("digest", F.col("label").alias("class_id"))
     return signed.select("doc_id", "digest").join(named, "digest").select(F.col("doc_id").alias(id_col), "digest", "class_id")

@@ -174,12 +174,11 @@ class _Coder:
             at = at[(l ^ (l + r - np.uint64(1)) < _LEAST) | (r < _LEAST)]
 
 
-def _lanes(n: int) -> int:
-    return max(1, min(LANES, -(-n // LANE_IDS)))
-
-
-def _lane_sizes(n: int, lanes: int) -> np.ndarray:
-    return np.full(lanes, n // lanes) + (np.arange(lanes) < n % lanes)
+def _shape(n: int) -> tuple[int, int, int]:
+    """Steps, lanes, and ids of the last lane; the other lanes are full."""
+    steps = -(-n // max(1, min(LANES, -(-n // LANE_IDS))))
+    lanes = -(-n // steps)
+    return steps, lanes, n - (lanes - 1) * steps
 
 
 def _bits(alphabet: int) -> int:
@@ -216,19 +215,16 @@ def encode_block(ids: np.ndarray) -> bytes:
     if not n:
         return _HEAD.pack(_MAGIC, 0, 0, 0, 0, 0)
     alphabet, symbols = _alphabet(ids)
-    lanes = _lanes(n)
-    sizes = _lane_sizes(n, lanes)
-    steps = int(sizes[0])
+    steps, lanes, last = _shape(n)
     # a row for each step: the t-th id of every lane
-    grid = np.zeros((steps, lanes), np.int64)
-    grid.T[np.arange(steps) < sizes[:, None]] = symbols
+    grid = np.ascontiguousarray(np.pad(symbols, (0, lanes * steps - n)).reshape(lanes, steps).T)
     bits = _bits(len(alphabet))
     model, coder = _Model(len(alphabet), lanes, bits), _Coder(lanes)
     words, used = np.zeros((lanes, 32 + steps // 2), np.uint32), np.zeros(lanes, np.int64)
     for t in range(steps):
         if int(used.max()) + 16 > words.shape[1]:  # an id shifts out far fewer words than this
             words = np.concatenate([words, np.zeros_like(words)], axis=1)
-        m = lanes if t < sizes[-1] else int((sizes > t).sum())
+        m = lanes if t < last else lanes - 1
         now = grid[t, :m]
         seen = model.predict(m)
         g2, g1, part2, parts = seen[5], seen[6], seen[8], seen[9]
@@ -241,11 +237,14 @@ def encode_block(ids: np.ndarray) -> bytes:
         model.learn(now, seen, hit2, hit1)
     # the last two words say a value inside the range
     tail = np.stack([coder.low >> _WORD, coder.low & (_LEAST - np.uint64(1))], axis=1).astype(np.uint32)
-    streams = [x for k in range(lanes) for x in (words[k, :used[k]], tail[k])]
+    words = np.concatenate([words, np.zeros((lanes, 2), np.uint32)], axis=1)
+    for k in (0, 1):
+        words[np.arange(lanes), used + k] = tail[:, k]
+    streams = words[np.arange(words.shape[1]) < (used + 2)[:, None]]
     letters = zlib.compress(np.diff(alphabet, prepend=np.uint32(0)).astype("<u4").tobytes(), 6)
     head = _HEAD.pack(_MAGIC, n, zlib.crc32(ids.astype("<u4").tobytes()), lanes, len(alphabet), bits)
     lengths = zlib.compress((used + 2).astype("<u4").tobytes(), 6)
-    return b"".join([head, struct.pack("<II", len(letters), len(lengths)), letters, lengths, np.concatenate(streams).astype("<u4").tobytes()])
+    return b"".join([head, struct.pack("<II", len(letters), len(lengths)), letters, lengths, streams.astype("<u4").tobytes()])
 
 
 def decode_block(payload: bytes) -> np.ndarray:
@@ -265,13 +264,14 @@ def decode_block(payload: bytes) -> np.ndarray:
     here = np.cumsum(used) - used
     code = words[here] << _WORD | words[here + 1]
     here += 2
-    sizes = _lane_sizes(n, lanes)
-    steps = int(sizes[0])
+    steps, again, last = _shape(n)
+    if again != lanes:
+        raise ValueError("a block has another number of lanes than its ids need")
     grid = np.zeros((steps, lanes), np.int64)
     model, coder = _Model(size, lanes, bits), _Coder(lanes)
     whole, shift = np.uint64(1 << _SCALE), np.uint64(bits)
     for t in range(steps):
-        m = lanes if t < sizes[-1] else int((sizes > t).sum())
+        m = lanes if t < last else lanes - 1
         seen = model.predict(m)
         g2, g1, part2, parts = seen[5], seen[6], seen[8], seen[9]
         unit = coder.range[:m] >> np.uint64(_SCALE)
@@ -287,7 +287,7 @@ def decode_block(payload: bytes) -> np.ndarray:
             code[out] = code[out] << _WORD | words[here[out]]
             here[out] += 1
         model.learn(now, seen, hit2, hit1)
-    ids = alphabet[grid.T[np.arange(steps) < sizes[:, None]]]
+    ids = alphabet.take(grid.T.reshape(-1)[:n])
     if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
         raise ValueError("a block's checksum differs")
     return ids
