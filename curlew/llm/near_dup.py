@@ -44,7 +44,7 @@ BANDS, ROWS = 40, 6
 #: Rounds of second hubs before the rest is compared.
 HUB_ROUNDS = 2
 COMPONENTS = BANDS * ROWS
-_CACHE_LIMIT = 300_000
+_CACHE_LIMIT = 150_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -155,16 +155,15 @@ def _multisets(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _sign(batches):
-    for batch in batches:
-        words = [_split(t) for t in batch.column(1).to_pylist()]
-        digest = [hashlib.blake2b("\x1f".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in words]
-        keys = [None] * len(words)
-        for a in range(0, len(words), 256):
-            part = words[a:a + 256]
-            got = band_keys(signatures(*_multisets(part), len(part)))
-            keys[a:a + 256] = [k if w else [] for k, w in zip(got, part, strict=True)]
-        size = [max(0, max(1, len(w) - SHINGLE + 1)) if w else 0 for w in words]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "digest", "n", "keys"])
+    for whole in batches:
+        # few texts at a time are held as words
+        for a in range(0, whole.num_rows, 256):
+            batch = whole.slice(a, 256)
+            words = [_split(t) for t in batch.column(1).to_pylist()]
+            digest = [hashlib.blake2b("\x1f".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in words]
+            got = band_keys(signatures(*_multisets(words), len(words)))
+            size = [max(1, len(w) - SHINGLE + 1) if w else 0 for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array([k if w else [] for k, w in zip(got, words, strict=True)], pa.list_(pa.int64()))], ["doc_id", "digest", "n", "keys"])
 
 
 #: Bits of the filter that tells which texts may be wanted (1 MB).
@@ -186,7 +185,7 @@ def _shingled(batches, bits):
     for batch in batches:
         slot = batch.column(2).to_numpy()
         batch = batch.filter(pa.array((bits[slot // 32] >> (slot % 32).astype(np.uint32)) & np.uint32(1) == 1))
-        sets = [np.sort(shingle_hashes(_split(t))).view(np.int64) for t in batch.column(1).to_pylist()]
+        sets = [np.sort(shingle_hashes(_split(t.as_py()))).view(np.int64) for t in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "bag"])
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from curlew.llm.common import seeded_hash, stored
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-_CACHE_LIMIT = 300_000
+_CACHE_LIMIT = 150_000
 _REPEAT = np.uint64(zlib.crc32(b"a word twice"))  # the pair of a word and itself is one feature
 
 
@@ -135,8 +135,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         for batch in batches:
-            weight, total = shared.value.scores(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weight), pa.array(total)], ["doc_id", "log_weight", "score"])
+            for a in range(0, batch.num_rows, 512):
+                part = batch.slice(a, 512)
+                weight, total = shared.value.scores(part.column(0).to_pylist(), part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(weight), pa.array(total)], ["doc_id", "log_weight", "score"])
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     return rows.mapInArrow(run, "doc_id long, log_weight double, score double").withColumnRenamed("doc_id", id_col)
@@ -206,8 +208,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, k: int | None = None, id_col:
 
     def run(batches):
         for batch in batches:
-            keys = batch.column(at[id_col]).cast(pa.int64()).to_pylist()
-            _, total = shared.value.scores(keys, batch.column(at[text_col]).to_pylist())
-            yield batch.filter(pa.array(total >= least))
+            for a in range(0, batch.num_rows, 512):
+                part = batch.slice(a, 512)
+                keys = part.column(at[id_col]).cast(pa.int64()).to_pylist()
+                _, total = shared.value.scores(keys, part.column(at[text_col]).to_pylist())
+                yield part.filter(pa.array(total >= least))
 
     return docs.mapInArrow(run, docs.schema)

@@ -215,7 +215,7 @@ def test_near_duplicates_against_all_pairs(spark):
 def test_url_rules_and_reputation(spark):
     urls = {1: "http://A.Example.com/en/x?y", 2: "https://www.example.com/en/", 3: None, 4: "no scheme", 5: "http://x.net/es/1#t", 6: "ftp://bad.org/q", 7: "http://sub.bad.org?z", 8: "http://com/", 9: "http://good.org/"}
     pages = spark.createDataFrame([(i, u, "clash") for i, u in urls.items()], "page_id long, url string, host string")
-    outcomes = [("bad.org", 1)] * 60 + [("good.org", 0)] * 60 + [("sub.bad.org", 1)] * 30
+    outcomes = [("bad.org", 1)] * 60 + [("good.org", 0)] * 600 + [("sub.bad.org", 1)] * 30
     known = pages.select(url_reputation.host_of(F.col("url")).alias("host"), F.lit(None).cast("int").alias("bad")).unionByName(spark.createDataFrame(outcomes, "host string, bad int"))
     got = {r["page_id"]: r for r in url_reputation.judge(pages, known, queries.RULES).collect()}
     assert [got[i]["rule"] for i in sorted(urls)] == ["example.com/en/", "www.example.com/en/", None, None, "net/es/", None, None, "com/", None]
