@@ -5,7 +5,9 @@ white space are levelled, equivalent spellings become one. The SHA-256 of the
 form is hash-joined to the digests of known licence texts. Looked up are the whole
 document and each of its lines, as entire texts of their own, so a licence that
 is the document and a notice that is one of its lines are both found; nothing is
-matched in part.
+matched in part. A text is levelled once for both: its form is its lines' forms,
+one after the other. Lines whose form has another length than every known form
+cannot have a known digest and are not hashed.
 
 Defined results: null and empty texts have the digest of the empty form and no
 licence; repeated rows of one doc_id share what is found in any of them; an empty
@@ -14,14 +16,19 @@ table gives an empty result. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
-NOT_WORD = r"[^\p{L}\p{N}]+"
+from curlew.llm.common import stored
+
+RIGHTS = re.compile(r"(?m)^[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$")
+RIGHTS_MARKS = ("copyright", "(c)", "©", "all rights reserved")
+MARKS = re.compile(r"[^\w\s]+")
 
 # Spellings that count as equal in licence texts.
 SPELLINGS = [
@@ -65,41 +72,69 @@ KNOWN: dict[str, list[str]] = {
 }
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form, in JVM expressions."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    flat = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.regexp_replace(low, COPYRIGHT_LINE, ""), NOT_WORD, " ")), F.lit(" "))
-    for one, other in SPELLINGS:
-        flat = F.replace(flat, F.lit(f" {one} "), F.lit(f" {other} "))
-    return F.trim(flat)
-
-
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
-
-
-def known_digests(spark, known: Mapping[str, list[str]] = KNOWN) -> DataFrame:
-    rows = [(name, text) for name, texts in known.items() for text in texts]
-    found = spark.createDataFrame(rows, "license string, text string")
-    return found.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+_SPELLED = dict(SPELLINGS)
+
+
+def canonical_lines(text: str | None) -> Iterator[str]:
+    """The canonical forms of the lines of a text that have one."""
+    low = (text or "").lower()
+    if any(mark in low for mark in RIGHTS_MARKS):
+        low = RIGHTS.sub("", low)
+    for line in MARKS.sub(" ", low).replace("_", " ").split("\n"):
+        words = line.split()
+        if words:
+            if not _SPELLED.keys().isdisjoint(words):
+                words = [_SPELLED.get(w, w) for w in words]
+            yield " ".join(words)
+
+
+def canonical(text: str | None) -> str:
+    return " ".join(canonical_lines(text))
+
+
+def known_digests(known: Mapping[str, list[str]] = KNOWN) -> tuple[list[tuple[str, str]], frozenset[int]]:
+    """(digest, licence) of the known texts, and the lengths of their forms."""
+    found: dict[str, str] = {}
+    lengths = set()
+    for name, texts in known.items():
+        for form in map(canonical, texts):
+            digest = hashlib.sha256(form.encode()).hexdigest()
+            found[digest] = min(name, found.get(digest, name))
+            lengths.add(len(form))
+    return sorted(found.items()), frozenset(lengths)
+
+
+def _digests(lengths: frozenset[int]):
+    def run(batches):
+        for batch in batches:
+            whole, lines = [], []
+            for text in batch.column(1):
+                sha, here, first = hashlib.sha256(), [], True
+                for form in canonical_lines(text.as_py()):
+                    body = form.encode("utf-8", "surrogatepass")
+                    sha.update(body if first else b" " + body)
+                    first = False
+                    if len(form) in lengths:
+                        here.append(hashlib.sha256(body).hexdigest())
+                whole.append(sha.hexdigest())
+                lines.append(here)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(whole, pa.string()), pa.array(lines, pa.list_(pa.string()))], ["doc_id", "text_sha256", "lines"])
+    return run
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: Mapping[str, list[str]] = KNOWN) -> DataFrame:
     """id, text_sha256, license (of the whole text), n_lines (lines that are a
     known text), line_licenses (their licences, sorted, comma-joined)."""
-    spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows, lengths = known_digests(known)
     # the catalogue is a parameter: a few rows
-    catalog = F.broadcast(known_digests(spark, known))
-    whole = docs.select(F.col(id_col).alias("doc_id"), digest(text).alias("text_sha256"))
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.split(text, "\n")).alias("line"))
-    # a line of less than half of its letters cannot have the digest of the shortest known text
-    shortest = min(len(re.sub(r"\W", "", t)) for ts in known.values() for t in ts)
-    lines = lines.where(F.length("line") >= shortest // 2)
-    hits = lines.select("doc_id", digest(F.col("line")).alias("digest")).join(catalog, "digest")
+    catalog = F.broadcast(docs.sparkSession.createDataFrame(rows, "digest string, license string"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    id_type = docs.schema[id_col].dataType.simpleString()
+    found = stored(texts.mapInArrow(_digests(lengths), f"doc_id {id_type}, text_sha256 string, lines array<string>"), "license-digests")
+    hits = found.select("doc_id", F.explode("lines").alias("digest")).join(catalog, "digest")
     per = hits.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.concat_ws(",", F.sort_array(F.collect_set("license"))).alias("line_licenses"))
     per = per.withColumnRenamed("doc_id", "d")
-    return (whole.join(catalog, F.col("text_sha256") == F.col("digest"), "left").drop("digest")
+    return (found.drop("lines").join(catalog, F.col("text_sha256") == F.col("digest"), "left").drop("digest")
             .join(per, F.expr("doc_id <=> d"), "left")
             .select(F.col("doc_id").alias(id_col), "text_sha256", "license", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
                     F.coalesce("line_licenses", F.lit("")).alias("line_licenses")))
