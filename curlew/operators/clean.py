@@ -93,13 +93,16 @@ def key_label_stats(df: DataFrame, key: str = "key", label: str = "label") -> Da
 
 
 def curation_funnel(labelled: DataFrame, entity: str = "entity", label: str = "label",
-                    rules: str = "text", mode: str = "text", **rule_params) -> DataFrame:
+                    rules: str = "text", mode: str = "text", validate: bool = True,
+                    standardize: bool = True, **rule_params) -> DataFrame:
     """Long ``(stage, value)`` table: original, after_missing, after_validation,
     after_standardization, after_dedup, after_conflicts (conflicting keys
-    dropped). One scan and one shuffle: rows are grouped by key digest (rows
-    without a key form one group, collapsed map-side by partial aggregation)
-    with conditional counts, then the per-key table is summed."""
-    v = standardize_key(validate_entities(labelled, entity, rules, **rule_params), entity, mode)
+    dropped). A stage that is switched off keeps all rows. One scan: rows are
+    grouped by key digest (rows without a key form one group, collapsed map-side
+    by partial aggregation) with conditional counts, then the per-key table is summed."""
+    v = validate_entities(labelled, entity, rules, **rule_params) if validate \
+        else labelled.withColumn("is_valid", F.lit(True))
+    v = standardize_key(v, entity, mode) if standardize else v.withColumn("key", F.col(entity))
     present = F.col(label).isNotNull() & F.col(entity).isNotNull()
     clean = present & F.col("is_valid") & F.col("key").isNotNull()
     per_key = v.withColumn("__h", key_digest(F.col("key"))).groupBy("__h").agg(

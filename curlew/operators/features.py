@@ -144,6 +144,8 @@ def clean_numeric(df: DataFrame, cols: list[str], var_min: float = 0.01,
 def embedding_features(df: DataFrame, emb: DataFrame, id_col: str = "id",
                        emb_id: str = "vec_id", emb_col: str = "embedding") -> DataFrame:
     """Join a precomputed embedding table on the entity id (never by
-    position) and expose it as an ML vector column ``features``."""
-    e = emb.select(F.col(emb_id).alias(id_col), array_to_vector(emb_col).alias("features"))
-    return df.join(e, id_col)
+    position) and expose it as an ML vector column ``features``. Rows without
+    an embedding stay, with null features and ``has_embedding`` 0."""
+    e = emb.filter(F.col(emb_col).isNotNull()).select(
+        F.col(emb_id).alias(id_col), array_to_vector(emb_col).alias("features"), F.lit(1).alias("has_embedding"))
+    return df.join(e, id_col, "left").withColumn("has_embedding", F.coalesce("has_embedding", F.lit(0)))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
@@ -20,6 +21,7 @@ from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curlew.operators import metrics as M
 from curlew.operators import similarity as S
@@ -44,7 +46,8 @@ def class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> D
 def fold_minmax_scale(df: DataFrame, group_cols: list[str], fold: str, cols: list[str]) -> DataFrame:
     """Scale each column of the validation fold by the min/max of the other
     folds of its group (fit on train only, applied to validation; not
-    clipped; a zero range scales by 1). Per-fold min/max is a small table;
+    clipped; a zero range scales by 1; a group of one fold stays unscaled).
+    Per-fold min/max is a small table;
     train statistics are a join of that table with itself."""
     aggs = [f(c).alias(f"__{n}_{c}") for c in cols for f, n in ((F.min, "lo"), (F.max, "hi"))]
     fm = df.groupBy(*group_cols, fold).agg(*aggs)
@@ -53,9 +56,10 @@ def fold_minmax_scale(df: DataFrame, group_cols: list[str], fold: str, cols: lis
     tr = a.join(b, group_cols).filter(F.col("__f") != F.col("__g")).groupBy(*group_cols, "__f").agg(
         *[F.min(f"__lo_{c}").alias(f"__lo_{c}") for c in cols],
         *[F.max(f"__hi_{c}").alias(f"__hi_{c}") for c in cols]).withColumnRenamed("__f", fold)
-    j = df.join(tr, [*group_cols, fold])
+    j = df.join(tr, [*group_cols, fold], "left")
     for c in cols:
-        lo, hi = F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
+        # a group of one fold has no train rows: its values stay as they are
+        lo, hi = F.coalesce(F.col(f"__lo_{c}"), F.lit(0.0)), F.coalesce(F.col(f"__hi_{c}"), F.lit(1.0))
         j = j.withColumn(c, (F.col(c) - lo) / F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo))
     return j.drop(*[f"__{n}_{c}" for c in cols for n in ("lo", "hi")])
 
@@ -139,11 +143,14 @@ DEFAULTS = {
 SEARCH_SPACE = {
     "LogisticRegression": {"C": ("log", 1e-3, 100.0)},
     "RandomForest": {"numTrees": ("int", 100, 1000, 100), "maxDepth": ("int", 3, 30, 1)},
-    "GradientBoosting": {"maxIter": ("int", 50, 500, 50), "stepSize": ("log", 0.01, 0.3),
-                         "maxDepth": ("int", 3, 10, 1), "subsamplingRate": ("float", 0.6, 1.0)},
+    "GradientBoosting": {"maxIter": ("int", 100, 1000, 100), "stepSize": ("log", 1e-3, 0.3),
+                         "maxDepth": ("int", 3, 12, 1), "subsamplingRate": ("float", 0.5, 1.0)},
     "LinearSVC": {"C": ("log", 1e-3, 100.0)},
 }
 
+#: Spark's trees stop there.
+MAX_DEPTH = 30
+
 
 def catalog_table(spark) -> DataFrame:
     return spark.createDataFrame([(m, p) for m, p in DEFAULTS.items()],
@@ -160,8 +167,10 @@ def resolve_params(spark, requested: DataFrame, tuned: DataFrame | None = None)
         r = r.join(tuned, ["descriptor", "model"], "left")
     else:
         r = r.withColumn("params", F.lit(None).cast("map<string,string>"))
-    merged = F.when(F.col("defaults").isNull(), F.lit(None)).otherwise(
-        F.map_concat(F.col("defaults"), F.coalesce("params", F.create_map().cast("map<string,string>"))))
+    given = F.coalesce("params", F.create_map().cast("map<string,string>"))
+    # only the defaults that are not given, so no key stands twice on any session
+    kept = F.map_filter("defaults", lambda k, _: ~F.array_contains(F.map_keys(given), k))
+    merged = F.when(F.col("defaults").isNull(), F.lit(None)).otherwise(F.map_concat(kept, given))
     return r.select("descriptor", "model", merged.alias("params"),
                     F.col("defaults").isNotNull().cast("int").alias("known"))
 
@@ -199,7 +208,10 @@ def build_estimator(model: str, params: dict, n_rows: float, seed: int = 42):
         return LogisticRegression(maxIter=int(float(p["maxIter"])), regParam=1.0 / (c * n_rows),
                                   elasticNetParam=0.0, standardization=False, weightCol="weight")
     if model == "RandomForest":
-        return RandomForestClassifier(numTrees=int(float(p["numTrees"])), maxDepth=min(30, int(float(p["maxDepth"]))),
+        depth = int(float(p["maxDepth"]))
+        if depth > MAX_DEPTH:
+            raise ValueError(f"maxDepth {depth}: Spark's trees have at most {MAX_DEPTH} levels")
+        return RandomForestClassifier(numTrees=int(float(p["numTrees"])), maxDepth=depth,
                                       weightCol="weight", seed=seed)
     if model == "GradientBoosting":
         return GBTClassifier(maxIter=int(float(p["maxIter"])), stepSize=float(p["stepSize"]),
@@ -225,43 +237,53 @@ def repeated_cv(data: DataFrame, folds: DataFrame, model: str, params: dict | No
                 max_workers: int = 4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Fit ``model`` once per (Repeat, Fold) on the other folds, score the
     held-out fold. ``data`` has (id, label, features); ``folds`` has
-    (id, Repeat, Fold). Returns (predictions, per-fold metrics). A failing
-    fit is recorded with status and skipped, as the source does."""
+    (id, Repeat, Fold). Returns (predictions, per-fold metrics). Class weights
+    and the regularisation come from the train folds alone. The metric table
+    has a row per (Repeat, Fold): ``status`` is ``ok``, or ``failed`` with the
+    ``error`` and null metrics where the estimator refuses the fold's rows (one
+    class only, say). Unknown models and parameters, and failing Spark jobs, raise."""
+    spark = data.sparkSession
+    build_estimator(model, params or {}, 1, seed)
     # one reliable checkpoint of (features x fold tags): every fit reads it
     # instead of recomputing the upstream lineage, and it survives executor loss
-    tagged = cut_lineage(class_weights(data, label).join(
-        folds.select(id_col, "Repeat", "Fold"), id_col))
-    keys = [(r["Repeat"], r["Fold"]) for r in tagged.select("Repeat", "Fold").distinct().collect()]
-    n = data.count()
-
-    def one(rf):
-        rep, fold = rf
+    tagged = cut_lineage(data.join(folds.select(id_col, "Repeat", "Fold"), id_col))
+    sizes = tagged.groupBy("Repeat", "Fold").count().collect()     # one row per fold
+    total: dict = {}
+    for r in sizes:
+        total[r["Repeat"]] = total.get(r["Repeat"], 0) + r["count"]
+    keys = sorted((r["Repeat"], r["Fold"], total[r["Repeat"]] - r["count"]) for r in sizes)
+
+    def one(key):
+        rep, fold, n = key
+        if n == 0:
+            return rep, fold, None, "no train rows"
         d = tagged.filter(F.col("Repeat") == rep)
-        tr, va = d.filter(F.col("Fold") != fold), d.filter(F.col("Fold") == fold)
+        tr = class_weights(d.filter(F.col("Fold") != fold), label)
+        est = build_estimator(model, params or {}, n, seed + rep - 1).setLabelCol(label).setFeaturesCol("features")
         try:
-            est = build_estimator(model, params or {}, n, seed + rep - 1).setLabelCol(label)
-            est = est.setFeaturesCol("features")
             fitted = est.fit(tr)
-            s = _score(fitted, va).select(id_col, F.col(label).alias("y"), "score")
-            return s.withColumn("Repeat", F.lit(rep)).withColumn("Fold", F.lit(fold))
-        except Exception:  # noqa: BLE001 - a failed fold is skipped
-            return None
+        except IllegalArgumentException as e:
+            return rep, fold, None, str(e)[:500]
+        s = _score(fitted, d.filter(F.col("Fold") == fold)).select(id_col, F.col(label).alias("y"), "score")
+        return rep, fold, s.withColumn("Repeat", F.lit(rep)).withColumn("Fold", F.lit(fold)), None
 
     with ThreadPoolExecutor(max_workers=max_workers) as ex:
-        parts = [p for p in ex.map(one, sorted(keys)) if p is not None]
-    spark = data.sparkSession
-    if not parts:
-        empty = spark.createDataFrame([], f"{id_col} long, y int, score double, Repeat int, Fold int")
-        parts = [empty]
-    pred = parts[0]
-    for p in parts[1:]:
+        done = list(ex.map(one, keys))
+    parts = [p for _, _, p, _ in done if p is not None]
+    pred = spark.createDataFrame([], T.StructType([
+        T.StructField(id_col, data.schema[id_col].dataType), T.StructField("y", data.schema[label].dataType),
+        T.StructField("score", T.DoubleType()), T.StructField("Repeat", T.IntegerType()), T.StructField("Fold", T.IntegerType())]))
+    for p in parts:
         pred = pred.unionByName(p)
-    pred = pred.withColumn("Descriptor", F.lit(descriptor)).withColumn("Model", F.lit(model))
-    res = M.metrics10(pred, ["Descriptor", "Model", "Repeat", "Fold"])
-    return pred, res
+    # scored once: the metrics and the callers read rows, not fitted models
+    pred = cut_lineage(pred.withColumn("Descriptor", F.lit(descriptor)).withColumn("Model", F.lit(model)))
+    status = spark.createDataFrame([(descriptor, model, rep, fold, "ok" if e is None else "failed", e) for rep, fold, _, e in done],
+                                   "Descriptor string, Model string, Repeat int, Fold int, status string, error string")
+    per = ["Descriptor", "Model", "Repeat", "Fold"]
+    return pred, status.join(M.metrics10(pred, per), per, "left")
 
 
-def tune(data: DataFrame, folds: DataFrame, model: str, n_trials: int = 4, metric: str = "ROC_AUC",
+def tune(data: DataFrame, folds: DataFrame, model: str, n_trials: int = 50, metric: str = "ROC_AUC",
          seed: int = 42, **kw) -> tuple[dict, DataFrame]:
     """Seeded random search: mean metric over all folds per trial (a failed
     fold scores 0.0); best = argmax (ties: smaller trial)."""

@@ -49,14 +49,20 @@ def _count_blocks(n_rows: int, block_rows: int) -> int:
     return max(1, math.ceil(n_rows / block_rows))
 
 
+def _rows(fp: DataFrame, id_col: str, bits_col: str) -> DataFrame:
+    """(__id, __bits, __n); a null fingerprint counts as empty."""
+    none = F.array().cast(fp.schema[bits_col].dataType)
+    return fp.select(F.col(id_col).alias("__id"), F.coalesce(F.col(bits_col), none).alias("__bits")) \
+        .withColumn("__n", F.size("__bits"))
+
+
 def size_blocks(fp: DataFrame, id_col: str, bits_col: str, block_rows: int) -> tuple[DataFrame, list]:
     """Assign ``__blk`` by range of bit count (bands from approximate
     quantiles), splitting crowded bands by id hash. Returns the rows and the
     block metadata [(blk, lo, hi, rows)] sorted by (lo, blk)."""
     # the blocking passes (count, quantiles, band sizes, metadata) and the
     # product all read one reliable checkpoint, not the fingerprint lineage
-    df = cut_lineage(fp.select(F.col(id_col).alias("__id"), F.col(bits_col).alias("__bits"))
-                     .withColumn("__n", F.size("__bits")))
+    df = cut_lineage(_rows(fp, id_col, bits_col))
     n = df.count()
     nb = _count_blocks(n, block_rows)
     if nb == 1:
@@ -149,8 +155,7 @@ def similarity_topn(query: DataFrame, target: DataFrame, n: int = 5, id_col: str
     spark = query.sparkSession
 
     def blocked(df, tag):
-        d = cut_lineage(df.select(F.col(id_col).alias("__id"), F.col(bits_col).alias("__bits"))
-                        .withColumn("__n", F.size("__bits")))
+        d = cut_lineage(_rows(df, id_col, bits_col))
         k = _count_blocks(d.count(), block_rows)
         return d.withColumn(tag, F.pmod(F.xxhash64("__id"), F.lit(k)).cast("int")), k
 

@@ -38,10 +38,19 @@ def exact_rank(df: DataFrame, part_cols: list[str], order: str, tie: str) -> Dat
     wb = Window.partitionBy(*part_cols).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*part_cols, "__bk", F.coalesce(F.sum("__c").over(wb), F.lit(0)).alias("__off"))
     wr = Window.partitionBy(*part_cols, "__bk").orderBy(order, tie)
-    return d.join(off, [*part_cols, "__bk"]) \
+    return null_safe_join(d, off, [*part_cols, "__bk"]) \
         .withColumn("__rank", F.col("__off") + F.row_number().over(wr)).drop("__bk", "__off")
 
 
+def null_safe_join(df: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on ``on`` in which null meets null, so rows without a label stay."""
+    right = small.select(*[F.col(c).alias(f"__r_{c}") for c in on], *[c for c in small.columns if c not in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    return df.join(right, cond).drop(*[f"__r_{c}" for c in on])
+
+
 def class_quotas(counts: list[tuple], test_size: float) -> dict:
     """Per-class test quota: n_test = ceil(test_size * n); floor of the
     proportional share n_c * n_test / n, then the remaining rows to the
@@ -51,7 +60,7 @@ def class_quotas(counts: list[tuple], test_size: float) -> dict:
     cont = {k: c * n_test / n for k, c in counts} if n else {}
     fl = {k: math.floor(v) for k, v in cont.items()}
     need = n_test - sum(fl.values())
-    order = sorted(cont, key=lambda k: (-(cont[k] - fl[k]), k))
+    order = sorted(cont, key=lambda k: (-(cont[k] - fl[k]), k is None, k))
     for k in order[:need]:
         fl[k] += 1
     return fl
@@ -62,14 +71,12 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "id",
     """Add ``split`` ('train' / 'test'): per class, the first quota rows in
     seeded-hash order go to test. Exact class counts (unlike ``sampleBy``)."""
     counts = [(r[0], r[1]) for r in df.groupBy(label).count().collect()]
-    if len(counts) > 100_000:
-        raise ValueError("stratified_split: too many classes for a quota table")
     quotas = class_quotas(counts, test_size)
     spark = df.sparkSession
     qdf = spark.createDataFrame([(k, int(v)) for k, v in quotas.items()],
                                 f"{label} {df.schema[label].dataType.simpleString()}, __q long")
     r = exact_rank(df.withColumn("__h", seeded_hash(seed, id_col)), [label], "__h", id_col)
-    return r.join(F.broadcast(qdf), label) \
+    return null_safe_join(r, F.broadcast(qdf), [label]) \
         .withColumn("split", F.when(F.col("__rank") <= F.col("__q"), "test").otherwise("train")) \
         .drop("__h", "__rank", "__q")
 
@@ -82,7 +89,7 @@ def stratified_folds(df: DataFrame, label: str = "label", id_col: str = "id", k:
     the fold after the rows of the smaller classes, so per-fold class counts
     differ by at most one and fold sizes are balanced."""
     spark = df.sparkSession
-    counts = sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())
+    counts = sorted(((r[0], r[1]) for r in df.groupBy(label).count().collect()), key=lambda t: (t[0] is None, t[0]))
     offs, acc = [], 0
     for cls, c in counts:
         offs.append((cls, acc))
@@ -91,7 +98,7 @@ def stratified_folds(df: DataFrame, label: str = "label", id_col: str = "id", k:
     rep = df.withColumn("Repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     rep = rep.withColumn("__h", seeded_hash(F.lit(base_seed) + F.col("Repeat") - 1, id_col))
     r = exact_rank(rep, ["Repeat", label], "__h", id_col)
-    return r.join(F.broadcast(odf), label) \
+    return null_safe_join(r, F.broadcast(odf), [label]) \
         .withColumn("Fold", ((F.col("__o") + F.col("__rank") - 1) % k + 1).cast("int")) \
         .drop("__h", "__rank", "__o")
 
@@ -116,8 +123,8 @@ def two_level_cumsum(df: DataFrame, bucket_cols: list[Column], order_cols: list[
 
 
 def cluster_split(df: DataFrame, cluster: str = "cluster_id", test_size: float = 0.2,
-                  tolerance: float = 0.05, max_attempts: int = 20, seed: int = 42,
-                  max_passes: int = 256) -> tuple[DataFrame, dict]:
+                  tolerance: float = 0.05, max_attempts: int = 10_000,
+                  seed: int = 42) -> tuple[DataFrame, dict]:
     """Cluster-intact train/test split. target = int(n * test_size),
     tol = int(n * tolerance). Per attempt, clusters are walked in seeded-hash
     order; a cluster is skipped when adding it would pass target + tol, and the
@@ -125,7 +132,8 @@ def cluster_split(df: DataFrame, cluster: str = "cluster_id", test_size: float =
     clusters whose running sum stays <= target + tol, skip the first cluster
     that would overshoot, repeat; each pass is one running sum over the
     cluster table (one row per cluster) and one small aggregate. When no
-    attempt succeeds, the size-ordered fallback is used (flagged in info).
+    attempt succeeds, the size-ordered fallback is used (flagged in info); it is
+    used at once where the clusters that fit at all hold too few rows for any order.
     Returns (rows with ``split``, info)."""
     sizes = cluster_sizes(df, cluster).cache()
     n = sizes.agg(F.sum("size")).first()[0] or 0
@@ -133,9 +141,10 @@ def cluster_split(df: DataFrame, cluster: str = "cluster_id", test_size: float =
     info = {"n": n, "target": target, "tol": tol, "attempt": None, "fallback": False,
             "skips": 0}
     chosen = None
-    for attempt in range(max_attempts):
+    able = sizes.filter(F.col("size") <= target + tol).agg(F.sum("size")).first()[0] or 0
+    for attempt in range(max_attempts if able >= target - tol else 0):
         cand = sizes.withColumn("__h", seeded_hash(seed, F.lit(attempt), cluster))
-        chosen = _skip_walk(cand, cluster, target, tol, max_passes, info)
+        chosen = _skip_walk(cand, cluster, target, tol, info)
         if chosen is not None:
             info["attempt"] = attempt + 1
             break
@@ -148,12 +157,12 @@ def cluster_split(df: DataFrame, cluster: str = "cluster_id", test_size: float =
     return out, info
 
 
-def _skip_walk(cand: DataFrame, cluster: str, target: int, tol: int, max_passes: int,
-               info: dict):
+def _skip_walk(cand: DataFrame, cluster: str, target: int, tol: int, info: dict):
     """Greedy walk with skips over (cluster, size, __h). Returns the selected
-    clusters (DataFrame) or None when this order fails."""
-    cur = cand
-    for _ in range(max_passes):
+    clusters (DataFrame) or None when this order fails. Clusters that are too
+    large by themselves go first; each pass then removes one more, so the loop ends."""
+    cur = cand.filter(F.col("size") <= target + tol)
+    while True:
         run = two_level_cumsum(cur, [F.shiftright("__h", BUCKET_SHIFT)], ["__h", cluster], "size")
         key = F.struct("__h", cluster)
         r = run.agg(
@@ -170,7 +179,6 @@ def _skip_walk(cand: DataFrame, cluster: str, target: int, tol: int, max_passes:
         h, c = over[0], over[1]
         cur = cur.filter(~((F.col("__h") == h) & (F.col(cluster) == c)))
         info["skips"] += 1
-    return None
 
 
 def fallback_selection(sizes: DataFrame, cluster: str, target: int) -> DataFrame:

@@ -142,15 +142,15 @@ def q_inf_to_null(spark, sf):
 @query("embedding_features", """
 SELECT d.doc_id AS id, CAST(len(e.embedding) AS INTEGER) AS dim,
   sqrt(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS norm,
-  e.label
-FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id""")
+  e.label, CAST(e.embedding IS NOT NULL AS INTEGER) AS has_embedding
+FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id""")
 def q_embedding_features(spark, sf):
     from pyspark.ml.functions import vector_to_array
     docs = T.table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
     emb = T.table(spark, sf, "embeddings")
     j = FE.embedding_features(docs, emb).join(
-        emb.select(F.col("vec_id").alias("id"), "label"), "id")
-    arr = vector_to_array("features")
+        emb.select(F.col("vec_id").alias("id"), "label"), "id", "left")
+    arr = F.when(F.col("has_embedding") == 1, vector_to_array("features"))
     return j.select("id", F.size(arr).alias("dim"),
                     F.sqrt(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x)).alias("norm"),
-                    "label")
+                    "label", "has_embedding")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from curlew.operators import features as FE
 from curlew.sources import io as IO
-from curlew.plans.catalog import DOCS_KEYED, query, word_bits_sql
+from curlew.plans.catalog import CURATED_DOCS, DOCS_KEYED, query, strat_split_sql, word_bits_sql
 from curlew.plans.q_features import docs_keyed
 from curlew.plans.q_reshape import SUMMARY, summary
 from curlew.session import scratch_path
@@ -19,10 +19,12 @@ nb AS (SELECT dk.key, count(DISTINCT b.bit) AS n FROM dk LEFT JOIN b ON b.id = d
 
 def _store(spark, sf):
     store = scratch_path(spark, "feature-store")
-    fp = FE.hashed_fingerprint(docs_keyed(spark, sf), min_n=2, max_n=2).filter(F.col("key").isNotNull())
+    keys = docs_keyed(spark, sf).select("key").filter(F.col("key").isNotNull())
     params = {"min_n": 2, "max_n": 2, "nbits": 2048}
-    IO.feature_store_upsert(spark, store, fp, "word2", params)
-    IO.feature_store_upsert(spark, store, fp, "word2", params)   # idempotent: appends nothing
+    def build(new):
+        return FE.hashed_fingerprint(new, min_n=2, max_n=2)
+    IO.feature_store_upsert(spark, store, keys, "word2", params, build=build)
+    IO.feature_store_upsert(spark, store, keys, "word2", params, build=build)   # idempotent: featurises and appends nothing
     return store, params
 
 
@@ -48,9 +50,10 @@ def q_load_external_metrics(spark, sf):
     return IO.load_external_metrics(summary(spark, sf), "R_F", ["ROC_AUC", "MCC", "GMean", "PR_AUC", "Brier"])
 
 
-@query("write_split_roundtrip")
+@query("write_split_roundtrip", "WITH " + CURATED_DOCS + "," + strat_split_sql("(SELECT id, label FROM curated)", "sp") + """
+SELECT id, label, split FROM sp""")
 def q_write_split_roundtrip(spark, sf):
-    """Curated split written partitioned by split and read back (rows-only)."""
+    """Curated split written partitioned by split and read back."""
     from curlew.plans.q_models import curated_split_fp
     path = scratch_path(spark, "split")
     IO.write_split(curated_split_fp(spark, sf).select("id", "label", "split"), path)
@@ -65,16 +68,20 @@ def q_write_results_roundtrip(spark, sf):
     return IO.read_results(spark, f"{base}/results_summary", "ROC_AUC")
 
 
-@query("params_roundtrip")
+@query("params_roundtrip", SUMMARY + """
+SELECT Descriptor AS descriptor, 'LogisticRegression' AS model, max(ROC_AUC) AS c, 2000 AS max_iter, 1 AS known
+FROM summary GROUP BY Descriptor""")
 def q_params_roundtrip(spark, sf):
-    """Best parameters per (descriptor, model) from the summary, written as
-    JSON and read back, merged over the catalog defaults (rows-only)."""
+    """One parameter row per (descriptor, model), C being the descriptor's best
+    ROC-AUC in the summary, written as JSON, read back, and merged over the
+    catalog defaults."""
     from curlew.operators.models import resolve_params
     path = scratch_path(spark, "params")
-    s = summary(spark, sf)
-    tuned = s.select(F.col("Descriptor").alias("descriptor"), F.lit("LogisticRegression").alias("model"),
-                     F.create_map(F.lit("C"), F.col("ROC_AUC").cast("string")).alias("params"))
+    best = summary(spark, sf).groupBy(F.col("Descriptor").alias("descriptor")).agg(F.max("ROC_AUC").alias("c"))
+    tuned = best.select("descriptor", F.lit("LogisticRegression").alias("model"),
+                        F.create_map(F.lit("C"), F.col("c").cast("string")).alias("params"))
     IO.write_params(tuned, path)
     back = IO.read_params(spark, path)
-    req = s.select(F.col("Descriptor").alias("descriptor"), F.lit("LogisticRegression").alias("model")).distinct()
-    return resolve_params(spark, req, back).select("descriptor", "model", F.map_entries("params").alias("p"), "known")
+    got = resolve_params(spark, back.select("descriptor", "model"), back)
+    return got.select("descriptor", "model", F.col("params")["C"].cast("double").alias("c"),
+                      F.col("params")["maxIter"].cast("int").alias("max_iter"), "known")

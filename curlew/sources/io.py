@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from curlew.sources.tables import SchemaError, require_columns
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's Hadoop file system; its failures raise."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def write_split(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Train and test rows in one table partitioned by ``split``."""
     df.write.mode("overwrite").partitionBy("split").format(fmt).save(path)
@@ -24,10 +30,9 @@ def write_results(tables: dict[str, DataFrame], base: str, fmt: str = "parquet")
 
 def read_results(spark: SparkSession, path: str, metric: str | None = None,
                  fmt: str = "parquet") -> DataFrame:
-    try:
-        df = spark.read.format(fmt).load(path)
-    except Exception as e:  # noqa: BLE001
-        raise FileNotFoundError(f"results table not found: {path}") from e
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"results table not found: {path}")
+    df = spark.read.format(fmt).load(path)
     need = ["Descriptor", "Model"] + ([metric] if metric else [])
     return require_columns(df, need, f"results {path}")
 
@@ -41,10 +46,9 @@ def write_params(df: DataFrame, path: str) -> None:
 
 def read_params(spark: SparkSession, path: str) -> DataFrame:
     """Missing table -> empty table (defaults are used)."""
-    try:
-        return spark.read.schema(PARAMS_SCHEMA).json(path)
-    except Exception:  # noqa: BLE001
+    if not path_exists(spark, path):
         return spark.createDataFrame([], PARAMS_SCHEMA)
+    return spark.read.schema(PARAMS_SCHEMA).json(path)
 
 
 def params_key(params: dict) -> str:
@@ -52,20 +56,22 @@ def params_key(params: dict) -> str:
 
 
 def feature_store_upsert(spark: SparkSession, store: str, df: DataFrame, descriptor: str,
-                         params: dict, key: str = "key", feature: str = "bits") -> int:
+                         params: dict, key: str = "key", feature: str = "bits", build=None) -> int:
     """Append features of entities not yet stored for (descriptor, params).
-    Row key = md5(entity key); new rows found by a left-anti join, so adding
-    entities never recomputes existing ones. Returns rows appended."""
+    Row key = md5(entity key); new rows are found by a left-anti join. With
+    ``build`` (DataFrame -> DataFrame with ``feature``) ``df`` needs the key
+    alone, and only the entities that are not stored are featurised; without it
+    ``df`` has the feature already. Returns rows appended."""
     ph = params_key(params)
-    new = df.select(F.md5(F.col(key)).alias("entity_hash"), F.col(feature).alias("value")) \
-        .dropDuplicates(["entity_hash"]) \
-        .withColumn("param_key", F.lit(ph)).withColumn("descriptor", F.lit(descriptor))
-    try:
+    new = df.withColumn("entity_hash", F.md5(F.col(key))).dropDuplicates(["entity_hash"])
+    if path_exists(spark, store):
         have = spark.read.parquet(store).filter(
             (F.col("descriptor") == descriptor) & (F.col("param_key") == ph)).select("entity_hash")
         new = new.join(have, "entity_hash", "left_anti")
-    except Exception:  # noqa: BLE001 - no store yet
-        pass
+    if build is not None:
+        new = build(new)
+    new = new.select("entity_hash", F.col(feature).alias("value")) \
+        .withColumn("param_key", F.lit(ph)).withColumn("descriptor", F.lit(descriptor))
     new = new.cache()
     n = new.count()
     if n:
