@@ -242,11 +242,20 @@ def repeated_cv(data: DataFrame, folds: DataFrame, model: str, params: dict | No
     has a row per (Repeat, Fold): ``status`` is ``ok``, or ``failed`` with the
     ``error`` and null metrics where the estimator refuses the fold's rows (one
     class only, say). Unknown models and parameters, and failing Spark jobs, raise."""
-    spark = data.sparkSession
     build_estimator(model, params or {}, 1, seed)
-    # one reliable checkpoint of (features x fold tags): every fit reads it
-    # instead of recomputing the upstream lineage, and it survives executor loss
-    tagged = cut_lineage(data.join(folds.select(id_col, "Repeat", "Fold"), id_col))
+    return _cv(fold_tagged(data, folds, id_col), model, params, descriptor, id_col, label, max_workers, seed)
+
+
+def fold_tagged(data: DataFrame, folds: DataFrame, id_col: str = "id") -> DataFrame:
+    """One reliable checkpoint of (features x fold tags): every fit reads it
+    instead of recomputing the upstream lineage, and it survives executor loss."""
+    return cut_lineage(data.join(folds.select(id_col, "Repeat", "Fold"), id_col))
+
+
+def _cv(tagged: DataFrame, model: str, params: dict | None, descriptor: str, id_col: str, label: str,
+        max_workers: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """``repeated_cv`` on rows that carry their folds."""
+    spark = tagged.sparkSession
     sizes = tagged.groupBy("Repeat", "Fold").count().collect()     # one row per fold
     total: dict = {}
     for r in sizes:
@@ -271,7 +280,7 @@ def repeated_cv(data: DataFrame, folds: DataFrame, model: str, params: dict | No
         done = list(ex.map(one, keys))
     parts = [p for _, _, p, _ in done if p is not None]
     pred = spark.createDataFrame([], T.StructType([
-        T.StructField(id_col, data.schema[id_col].dataType), T.StructField("y", data.schema[label].dataType),
+        T.StructField(id_col, tagged.schema[id_col].dataType), T.StructField("y", tagged.schema[label].dataType),
         T.StructField("score", T.DoubleType()), T.StructField("Repeat", T.IntegerType()), T.StructField("Fold", T.IntegerType())]))
     for p in parts:
         pred = pred.unionByName(p)
@@ -284,17 +293,21 @@ def repeated_cv(data: DataFrame, folds: DataFrame, model: str, params: dict | No
 
 
 def tune(data: DataFrame, folds: DataFrame, model: str, n_trials: int = 50, metric: str = "ROC_AUC",
-         seed: int = 42, **kw) -> tuple[dict, DataFrame]:
+         seed: int = 42, descriptor: str = "features", id_col: str = "id", label: str = "label",
+         max_workers: int = 4) -> tuple[dict, DataFrame]:
     """Seeded random search: mean metric over all folds per trial (a failed
-    fold scores 0.0); best = argmax (ties: smaller trial)."""
+    fold scores 0.0); best = argmax (ties: smaller trial). The features meet
+    their folds once for all trials."""
     spark = data.sparkSession
     trials = trial_table(spark, [model], n_trials, seed).collect()   # n_trials x params rows
     by_trial: dict[int, dict] = {}
     for r in trials:
         by_trial.setdefault(r["trial"], {})[r["param"]] = r["value"]
+    tagged = fold_tagged(data, folds, id_col)
     scores = []
     for t, params in sorted(by_trial.items()):
-        _, res = repeated_cv(data, folds, model, params, seed=seed, **kw)
+        build_estimator(model, params, 1, seed)
+        _, res = _cv(tagged, model, params, descriptor, id_col, label, max_workers, seed)
         row = res.agg(F.avg(F.coalesce(F.col(metric), F.lit(0.0)))).first()[0]
         scores.append((t, float(row) if row is not None else 0.0))
     sdf = spark.createDataFrame(scores, "trial int, score double")
@@ -332,7 +345,7 @@ def stacking(train: DataFrame, test: DataFrame, bases: list[str], folds: DataFra
     meta_train = wide.join(train.select(id_col, label), id_col)
     va = VectorAssembler(inputCols=bases, outputCol="meta_features")
     meta = Pipeline(stages=[va, LogisticRegression(featuresCol="meta_features", labelCol=label,
-                                                   maxIter=100)]).fit(meta_train)
+                                                   maxIter=2000)]).fit(meta_train)
     tests = None
     for b in bases:
         s = final_fit_score(train, test, b, id_col=id_col, label=label, seed=seed) \

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curlew.operators import clean as C
@@ -74,59 +77,63 @@ def q_knn_vote(spark, sf):
     return MD.knn_vote(d.filter("split = 'train'"), d.filter("split = 'test'"), 5)
 
 
-def _cv_inputs(spark, sf):
+#: As in the source configuration (N_FOLDS, N_REPEATS).
+FOLDS, REPEATS = 5, 5
+#: Every model of the catalogue, with its default parameters. With the one descriptor
+#: of these queries they are the pairs of the summary: fewer than the five that
+#: ``select_top_k`` keeps, so all of them are bases of the ensemble.
+BASES = list(MD.DEFAULTS)
+
+
+def _cv_inputs(spark, sf, repeats=REPEATS):
     d = curated_split_fp(spark, sf).filter("split = 'train'")
     data = MD.bits_to_vector(d).select("id", "label", "features")
-    folds = SP.stratified_folds(d.select("id", "label"), "label", "id", k=3, repeats=2)
+    folds = SP.stratified_folds(d.select("id", "label"), "label", "id", k=FOLDS, repeats=repeats)
     return data, folds.select("id", "Repeat", "Fold")
 
 
 @query("repeated_cv")
 def q_repeated_cv(spark, sf):
-    """Per-fold metric table of logistic regression, 2 repeats x 3 folds
+    """Per-fold metric table of every model of the catalogue, 5 repeats x 5 folds
     (rows-only check; fits are not SQL)."""
     data, folds = _cv_inputs(spark, sf)
-    _, res = MD.repeated_cv(data, folds, "LogisticRegression", {"maxIter": 100},
-                            descriptor="WordShingle2")
-    return res
+    tables = [MD.repeated_cv(data, folds, m, descriptor="WordShingle2")[1] for m in BASES]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query("tune")
 def q_tune(spark, sf):
-    """Seeded random search for logistic regression: score per trial."""
+    """Seeded random search of every model of the catalogue: score per (model,
+    trial), 50 trials over all folds of all repeats."""
     data, folds = _cv_inputs(spark, sf)
-    folds = folds.filter("Repeat = 1")
-    _, scores = MD.tune(data, folds, "LogisticRegression", n_trials=3)
-    return scores
+    tables = [MD.tune(data, folds, m, n_trials=50)[1].select(F.lit(m).alias("Model"), "trial", "score") for m in BASES]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query("final_fit_score")
 def q_final_fit_score(spark, sf):
     """Fit on all train rows, score the test split (prediction table)."""
     d = MD.bits_to_vector(curated_split_fp(spark, sf))
-    return MD.final_fit_score(d.filter("split = 'train'"), d.filter("split = 'test'"),
-                              "LogisticRegression", {"maxIter": 100})
+    return MD.final_fit_score(d.filter("split = 'train'"), d.filter("split = 'test'"), "LogisticRegression")
 
 
 @query("stacking")
 def q_stacking(spark, sf):
-    """Stacking of two base models on out-of-fold probabilities."""
+    """Stacking of all base models on out-of-fold probabilities of 5 folds."""
     d = MD.bits_to_vector(curated_split_fp(spark, sf))
     tr, te = d.filter("split = 'train'"), d.filter("split = 'test'")
-    folds = SP.stratified_folds(tr.select("id", "label"), "label", "id", k=3, repeats=1) \
+    folds = SP.stratified_folds(tr.select("id", "label"), "label", "id", k=FOLDS, repeats=1) \
         .select("id", "Repeat", "Fold")
-    pred, _ = MD.stacking(tr.select("id", "label", "features"), te.select("id", "label", "features"),
-                          ["LogisticRegression", "LinearSVC"], folds)
+    pred, _ = MD.stacking(tr.select("id", "label", "features"), te.select("id", "label", "features"), BASES, folds)
     return pred
 
 
 @query("oof_predictions")
 def q_oof_predictions(spark, sf):
-    """Out-of-fold probability per (id, base model), wide by base."""
+    """Out-of-fold probability per (id, repeat, base model), wide by base."""
     data, folds = _cv_inputs(spark, sf)
-    folds = folds.filter("Repeat = 1")
-    pred, _ = MD.repeated_cv(data, folds, "LogisticRegression", {"maxIter": 100})
-    return pred.groupBy("id").pivot("Model", ["LogisticRegression"]).agg(F.first("score"))
+    tables = [MD.repeated_cv(data, folds, m)[0] for m in BASES]
+    return reduce(DataFrame.unionByName, tables).groupBy("id", "Repeat").pivot("Model", BASES).agg(F.first("score"))
 
 
 @query("ensemble_vs_best", SUMMARY + """,
