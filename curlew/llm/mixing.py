@@ -11,7 +11,9 @@ takes one repetition more of those documents whose middle lies below the
 remaining quota when the source is laid out in seeded hash order, so a source's
 taken words differ from its target by at most half of one document. The running
 sums are two-level (hash buckets, then rows inside the one bucket that the quota
-cuts), so a source that holds a third of all rows never meets in one task.
+cuts), so a source that holds a third of all rows never meets in one task. The hash
+is of the id and, from the second row of an id on, of the row's number among the rows
+of that id, so rows with one id, or with none, are decided one by one.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 last in order; a source of size 0 has target 0 and its documents are taken 0
@@ -32,12 +34,35 @@ WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_SHIFT = 50
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def numbered(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, str]:
+    """``docs`` with a column (its name is returned) that numbers the rows of each id
+    from 0, in the order of their texts' digests and sources. Only where an id
+    repeats are rows ordered and written; rows of one id may lie in many ranges."""
+    which = fresh(docs, "mix_which")
+    if docs.groupBy(id_col).count().where("count > 1").isEmpty():
+        return docs.withColumn(which, F.lit(0).cast("long")), which
+    pid, salt = fresh(docs, "mix_pid"), fresh(docs, "mix_salt")
+    order = [F.col(id_col).asc_nulls_last(), F.md5(F.col(text_col).cast("string")), F.col(source_col), F.col(salt)]
+    ranged = stored(docs.withColumn(salt, F.rand(17)).repartitionByRange(*order).withColumn(pid, F.spark_partition_id()), "mix-numbered")
+    per = ranged.groupBy(F.col(id_col).alias("i"), F.col(pid).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    before = per.withColumn("earlier", F.sum("n").over(Window.partitionBy("i").orderBy("p")) - F.col("n")).where("earlier > 0")
+    # at most the first id of each range has rows in earlier ranges
+    first = F.broadcast(before.select(F.col("i").alias(f"{which}_i"), F.col("p").alias(f"{which}_p"), F.col("earlier").alias(f"{which}_n")))
+    inside = ranged.withColumn(which, F.row_number().over(Window.partitionBy(pid, id_col).orderBy(*order[1:])) - 1)
+    joined = inside.join(first, (F.col(pid) == F.col(f"{which}_p")) & F.col(id_col).eqNullSafe(F.col(f"{which}_i")), "left")
+    return joined.withColumn(which, F.col(which) + F.coalesce(f"{which}_n", F.lit(0))).select(*docs.columns, which), which
+
+
+def row_hash(seed: int, id_col: str, which: str) -> Column:
+    return F.when(F.col(which) == 0, seeded_hash(seed, F.col(id_col))).otherwise(seeded_hash(seed, F.col(id_col), F.col(which)))
+
+
+def sizes(docs: DataFrame, which: str, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source", seed: int = 17) -> DataFrame:
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        seeded_hash(seed, F.col(id_col)).alias("h"))
+        row_hash(seed, id_col, which).alias("h"))
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
@@ -100,7 +125,8 @@ def _copies() -> Column:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 17) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies: one row for each row of ``docs``."""
-    sized = stored(sizes(docs, id_col, text_col, source_col, seed), "mix-sizes")
+    docs, which = numbered(docs, id_col, text_col, source_col)
+    sized = stored(sizes(docs, which, id_col, text_col, source_col, seed), "mix-sizes")
     return sized.join(plan(sized, weights, max_epochs), F.expr("source <=> s")).withColumn("copies", _copies()).select(
         F.col("doc_id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
@@ -108,10 +134,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
            weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 17) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each as often as ``mix`` takes it. Rows
-    meet only the table of sources, so texts are not shuffled while that is small."""
-    sized = stored(sizes(docs, id_col, text_col, source_col, seed), "mix-sizes")
+    meet only the table of sources, so texts are not shuffled while that is small and no
+    id repeats."""
+    columns = docs.columns
+    docs, which = numbered(docs, id_col, text_col, source_col)
+    sized = stored(sizes(docs, which, id_col, text_col, source_col, seed), "mix-sizes")
     source, times, h = (fresh(docs, c) for c in ("mix_source", "mix_copies", "mix_h"))
     chosen = plan(sized, weights, max_epochs).select(F.col("s").alias(source), F.col("whole").alias(times), F.col("cut").alias(h))
-    extra = (seeded_hash(seed, F.col(id_col)) <= F.col(h)).cast("long")
+    extra = (row_hash(seed, id_col, which) <= F.col(h)).cast("long")
     joined = docs.join(chosen, F.col(source_col).eqNullSafe(F.col(source))).withColumn(times, F.col(times) + extra)
-    return joined.where(F.col(times) > 0).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)
+    return joined.where(F.col(times) > 0).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*columns)

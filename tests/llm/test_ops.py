@@ -254,6 +254,25 @@ def test_mixing(spark):
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.sample(docs(spark, [])).count() == 0
 
 
+def test_mixing_decides_rows_of_one_id_one_by_one(spark):
+    rows = [(7, "w w w", "a")] * 200 + [(None, f"n{i} w w", "a") for i in range(200)] + [(i, "w w w", "a") for i in range(100, 300)]
+    rows += [(7, "x x x", "b")] * 50 + [(i, "x x x", "b") for i in range(1000, 1400)]
+    table = docs(spark, rows).repartition(5)
+    got = mixing.mix(table, weights=(1, 2)).withColumn("a", F.col("source_size") == 1800).toPandas()
+    assert len(got) == len(rows)
+    for a, part in got.groupby("a"):
+        assert abs(part["taken"].sum() - part["target"].iloc[0]) <= 1.5 + 1e-6, a
+    mixed = mixing.sample(table, weights=(1, 2))
+    taken = {r["source"]: r["n"] * 3 for r in mixed.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert mixed.columns == table.columns
+    assert taken == {"a": got[got["a"]]["taken"].sum(), "b": got[~got["a"]]["taken"].sum()}
+    which = mixing.numbered(table, "doc_id", "text", "source")
+    per: dict = {}
+    for r in which[0].select("doc_id", which[1]).collect():
+        per.setdefault(r[0], []).append(r[1])
+    assert all(sorted(v) == list(range(len(v))) for v in per.values()) and len(per[7]) == 250 and len(per[None]) == 200
+
+
 def test_pipeline_stages_keep_columns(spark):
     import corpus_pipeline
 
