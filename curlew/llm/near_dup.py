@@ -30,7 +30,6 @@ an empty table gives an empty result; texts are read whole. Extra columns are ke
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +65,8 @@ class _Words(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > _CACHE_LIMIT:
             self.clear()
-        body = word.encode("utf-8", "surrogatepass")
-        got = self[word] = zlib.crc32(body) << 32 | zlib.crc32(body, 0x5BD1E995)
+        digest = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        got = self[word] = int.from_bytes(digest, "little")
         return got
 
 

@@ -176,6 +176,18 @@ def test_quality(spark):
     assert quality.classify(table, labels.limit(0)).where("NOT keep").count() == 0
 
 
+def test_word_hashes_of_one_length_use_all_bits():
+    rng = np.random.default_rng(11)
+    seen: dict = {}
+    for row in rng.integers(97, 123, (300_000, 10), dtype=np.uint8):
+        seen.setdefault(zlib.crc32(row.tobytes()), set()).add(row.tobytes().decode())
+    pairs = [sorted(v)[:2] for v in seen.values() if len(v) > 1]
+    assert pairs
+    for a, b in pairs:  # equal in 32 bits of CRC
+        assert near_dup._Words()[a] != near_dup._Words()[b]
+        assert (near_dup.shingle_hashes([a] * 5) != near_dup.shingle_hashes([b] * 5)).all()
+
+
 def test_bagminhash_estimates_weighted_jaccard():
     rng = np.random.default_rng(0)
     for _ in range(3):
