@@ -8,7 +8,9 @@ configuration are lexed into name-literal pairs: ``name = "literal"``,
 later pair's right side is such a name (or a ``+`` chain of literals and names) the
 literal's spans flow to the new name. Every literal is then scored by the most
 sensitive name it reaches, its length, its character mix and its entropy, and
-reported as kind ``lexed`` when the score reaches ``min_score``. Base spans always
+reported as kind ``lexed`` when the score reaches ``min_score``. A literal with spaces
+has the score of its longest part without one, after a scheme word such as Bearer;
+under names of passwords and passphrases, its length and number of words count too. Base spans always
 stay; a lexed literal that lies inside a base span is not told twice.
 
 Spans count code points, end exclusive. Defined results: a null text is an empty
@@ -44,6 +46,10 @@ KINDS = ("assign", "access", "hex", "lexed")
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "secret": 1.0, "token": 0.9, "apikey": 1.0,
              "credential": 0.9, "credentials": 0.9, "auth": 0.7, "authorization": 0.8, "bearer": 0.8, "private": 0.6,
              "access": 0.5, "signing": 0.6, "encryption": 0.6, "session": 0.4, "key": 0.4, "pin": 0.4, "salt": 0.5}
+#: Names whose values may be several plain words.
+PHRASES = {"passphrase", "password", "passwd", "pwd"}
+#: Words before a credential in one literal.
+SCHEMES = {"bearer", "basic", "digest", "token", "apikey", "negotiate", "ntlm", "hawk"}
 PLACEHOLDER = re.compile(r"(?i)^(x+|\*+|\.+|(your|my|some|an?)[-_ ].*|example.*|changeme|placeholder|none|null|true|false|undefined|todo|<.*|\$\{.*|%\(.*)$")
 
 _ATOM = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z0-9+/_.$-]+=*)"""
@@ -52,17 +58,28 @@ _ATOMS = re.compile(_ATOM, re.A)
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
-def name_weight(name: str) -> float:
-    """How sensitive a name is: its strongest part, or a joined pair such as api key."""
+def _parts(name: str) -> list[str]:
+    """The parts of a name, and joined pairs such as api key."""
     parts = [p.lower() for p in _WORDS.findall(name)]
-    pairs = [a + b for a, b in zip(parts, parts[1:], strict=False)]
-    return max((SENSITIVE.get(p, 0.0) for p in parts + pairs), default=0.0)
+    return parts + [a + b for a, b in zip(parts, parts[1:], strict=False)]
+
+
+def name_weight(name: str) -> float:
+    """How sensitive a name is: its strongest part, or a joined pair."""
+    return max((SENSITIVE.get(p, 0.0) for p in _parts(name)), default=0.0)
 
 
-def literal_score(value: str) -> float:
-    """0 to 1: long, mixed and irregular values score high."""
-    if len(value) < 8 or PLACEHOLDER.match(value) or " " in value:
+def literal_score(value: str, phrase: bool = False) -> float:
+    """0 to 1: long, mixed and irregular values score high; with ``phrase``, long
+    values of several words too."""
+    if len(value) < 8 or PLACEHOLDER.match(value):
         return 0.0
+    if " " in value:
+        words = value.split()
+        if words and words[0].lower().rstrip(":") in SCHEMES:
+            words, phrase = words[1:], False
+        score = literal_score(max(words, key=len, default=""))
+        return max(score, 0.5 * min(1, len(value) / 20) + 0.5 * min(1, len(words) / 4)) if phrase and len(words) > 1 else score
     n = len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
     kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
@@ -81,6 +98,7 @@ def lexed_spans(text: str, min_score: float) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name with a high enough score."""
     constants: dict[str, list[tuple[int, int]]] = {}
     best: dict[tuple[int, int], float] = {}
+    phrases: set[tuple[int, int]] = set()
     for m in _PAIR.finditer(text):
         name, flows = m["name"] or m["call"], []
         for atom in _ATOMS.finditer(text, m.start("value"), m.end("value")):
@@ -96,7 +114,10 @@ def lexed_spans(text: str, min_score: float) -> list[tuple[int, int]]:
         weight = name_weight(name)
         for span in flows if weight else ():
             best[span] = max(best.get(span, 0.0), weight)
-    return sorted(s for s, weight in best.items() if 0.5 * weight + 0.5 * literal_score(text[s[0]:s[1]]) >= min_score and literal_score(text[s[0]:s[1]]) > 0)
+        if weight and not PHRASES.isdisjoint(_parts(name)):
+            phrases.update(flows)
+    scores = {s: literal_score(text[s[0]:s[1]], s in phrases) for s in best}
+    return sorted(s for s, weight in best.items() if 0.5 * weight + 0.5 * scores[s] >= min_score and scores[s] > 0)
 
 
 def scan_text(text: str, min_score: float, pairs: bool = True) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
