@@ -3,11 +3,13 @@
 A text is brought to a canonical form: copyright lines go, case, punctuation and
 white space are levelled, equivalent spellings become one. The SHA-256 of the
 form is hash-joined to the digests of known licence texts. Looked up are the whole
-document and each of its lines, as entire texts of their own, so a licence that
-is the document and a notice that is one of its lines are both found; nothing is
-matched in part. A text is levelled once for both: its form is its lines' forms,
-one after the other. Lines whose form has another length than every known form
-cannot have a known digest and are not hashed.
+document, each of its lines, and each run of lines that begins with the first word
+of a known form and has its length, as entire texts of their own, so a licence that
+is the document, a notice that is one of its lines and a licence that spans some of
+its lines are all found; nothing is matched in part of a line. A text is levelled
+once for all: its form is its lines' forms, one after the other. Lines and runs whose
+form has another length than every known form cannot have a known digest and are not
+hashed. Long licences are known by the digests of their full texts alone.
 
 Defined results: null and empty texts have the digest of the empty form and no
 licence; repeated rows of one doc_id share what is found in any of them; an empty
@@ -18,7 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +53,9 @@ KNOWN: dict[str, list[str]] = {
     "BSD-2-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ],
+    "BSD-3-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ],
     "CC-BY-NC-4.0": [
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
@@ -57,7 +64,22 @@ KNOWN: dict[str, list[str]] = {
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "Licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ],
     "GPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "This work is licensed under the GNU General Public License, version 3.",
         "Licensed under the GNU General Public License, version 3.",
     ],
@@ -71,6 +93,17 @@ KNOWN: dict[str, list[str]] = {
     ],
 }
 
+# Full texts, by (licence, length of the form, its first word, its digest).
+FULL: list[tuple[str, int, str, str]] = [
+    ("Apache-2.0", 9706, "apache", "ebc600199db9838b4fc2d5288a12598c2702142177a89b3443f5cc87b137d94b"),
+    ("BSD-3-Clause", 1361, "redistribution", "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
+    ("GPL-2.0", 17054, "gnu", "c230c00f329737cb7ce3d97a266318b4c9d4c1fd321335e592b2ce1112179b88"),
+    ("GPL-3.0", 33274, "gnu", "010ce52b3b970c80b5447205f4afc3b42084811cda2d11b95178b1fd3940764f"),
+    ("LGPL-2.1", 25024, "gnu", "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345"),
+    ("LGPL-3.0", 7104, "gnu", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-2.0", 14274, "mozilla", "c2713eb9ffe7cf58eeb67ec5410a54ac745b6fb19c51c595bdfd96f92361166b"),
+]
+
 
 _SPELLED = dict(SPELLINGS)
 
@@ -92,39 +125,46 @@ def canonical(text: str | None) -> str:
     return " ".join(canonical_lines(text))
 
 
-def known_digests(known: Mapping[str, list[str]] = KNOWN) -> tuple[list[tuple[str, str]], frozenset[int]]:
-    """(digest, licence) of the known texts, and the lengths of their forms."""
+def known_digests(known: Mapping[str, list[str]] = KNOWN) -> tuple[list[tuple[str, str]], dict[str, list[int]]]:
+    """(digest, licence) of the known texts, and the lengths of their forms by first word."""
+    forms = [(name, canonical(text)) for name, texts in known.items() for text in texts]
+    rows = [(name, len(form), form.partition(" ")[0], hashlib.sha256(form.encode()).hexdigest()) for name, form in forms]
     found: dict[str, str] = {}
-    lengths = set()
-    for name, texts in known.items():
-        for form in map(canonical, texts):
-            digest = hashlib.sha256(form.encode()).hexdigest()
-            found[digest] = min(name, found.get(digest, name))
-            lengths.add(len(form))
-    return sorted(found.items()), frozenset(lengths)
-
-
-def _digests(lengths: frozenset[int]):
+    lengths: dict[str, set[int]] = {}
+    for name, length, first, digest in rows + FULL * (known is KNOWN):
+        found[digest] = min(name, found.get(digest, name))
+        lengths.setdefault(first, set()).add(length)
+    return sorted(found.items()), {first: sorted(x) for first, x in lengths.items()}
+
+
+def runs(forms: list[str], lengths: Mapping[str, list[int]]) -> Iterator[str]:
+    """The runs of one or more lines that begin with a known first word and have one of its lengths."""
+    first = [(i, at) for i, form in enumerate(forms) if (at := lengths.get(form.partition(" ")[0]))]
+    if first:
+        ends = list(accumulate((len(form) + 1 for form in forms)))  # each with a space after it
+        for i, known in first:
+            start = ends[i] - len(forms[i]) - 1
+            for length in known:
+                j = bisect_left(ends, start + length + 1, i)
+                if j < len(ends) and ends[j] == start + length + 1:
+                    yield " ".join(forms[i:j + 1])
+
+
+def _digests(lengths: Mapping[str, list[int]]):
     def run(batches):
         for batch in batches:
             whole, lines = [], []
             for text in batch.column(1):
-                sha, here, first = hashlib.sha256(), [], True
-                for form in canonical_lines(text.as_py()):
-                    body = form.encode("utf-8", "surrogatepass")
-                    sha.update(body if first else b" " + body)
-                    first = False
-                    if len(form) in lengths:
-                        here.append(hashlib.sha256(body).hexdigest())
-                whole.append(sha.hexdigest())
-                lines.append(here)
+                forms = list(canonical_lines(text.as_py()))
+                whole.append(hashlib.sha256(" ".join(forms).encode("utf-8", "surrogatepass")).hexdigest())
+                lines.append([hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest() for body in runs(forms, lengths)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(whole, pa.string()), pa.array(lines, pa.list_(pa.string()))], ["doc_id", "text_sha256", "lines"])
     return run
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: Mapping[str, list[str]] = KNOWN) -> DataFrame:
-    """id, text_sha256, license (of the whole text), n_lines (lines that are a
-    known text), line_licenses (their licences, sorted, comma-joined)."""
+    """id, text_sha256, license (of the whole text), n_lines (lines, and runs
+    of lines, that are a known text), line_licenses (their licences, sorted, comma-joined)."""
     rows, lengths = known_digests(known)
     # the catalogue is a parameter: a few rows
     catalog = F.broadcast(docs.sparkSession.createDataFrame(rows, "digest string, license string"))

@@ -74,6 +74,34 @@ def test_licenses(spark):
     assert licenses.scan(docs(spark, rows)).count() == 6 and licenses.scan(docs(spark, [])).count() == 0
 
 
+def test_licenses_over_several_lines(spark):
+    mit, bsd = licenses.KNOWN["MIT"][-1], licenses.KNOWN["BSD-3-Clause"][0]
+    wrap = lambda t, mark: "\n".join(mark + " ".join(w) for w in (t.split()[i:i + 9] for i in range(0, len(t.split()), 9)))
+    code = "import os\npermission = 1\n"
+    rows = [(1, "# Copyright 2020 X\n#\n" + wrap(mit, "# ") + "\n" + code, "s"), (2, code + wrap(bsd, " * "), "s"), (3, wrap(mit, "").replace("charge", "change") + "\n" + code, "s"),
+            (4, wrap(licenses.KNOWN["MPL-2.0"][0], "// ") + "\n" + code + wrap(mit, "// "), "s")]
+    got = {r["doc_id"]: (r["license"], r["n_lines"], r["line_licenses"]) for r in licenses.scan(docs(spark, rows)).collect()}
+    assert got == {1: (None, 1, "MIT"), 2: (None, 1, "BSD-3-Clause"), 3: (None, 0, ""), 4: (None, 2, "MIT,MPL-2.0")}
+    rng, forms = np.random.default_rng(6), ["a", "b b", "a c", "b"]
+    for _ in range(50):
+        text = [forms[i] for i in rng.integers(0, 4, 12)]
+        want = [" ".join(text[i:j]) for i in range(12) for j in range(i + 1, 13) if text[i][0] == "a" and len(" ".join(text[i:j])) in (3, 7)]
+        assert sorted(licenses.runs(text, {"a": [3, 7]})) == sorted(want)
+
+
+def test_full_licenses():
+    from pathlib import Path
+
+    rows, _ = licenses.known_digests()
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "BSD-3-Clause": "BSD"}
+    for name, file in files.items():
+        path = Path("/usr/share/common-licenses") / file
+        if path.exists():
+            form = licenses.canonical(path.read_text())
+            assert dict(rows)[hashlib.sha256(form.encode()).hexdigest()] == name
+            assert len(form) in dict(licenses.known_digests()[1])[form.split()[0]]
+
+
 def test_warc_round_trip(spark):
     long = "é" * 700 + "WARC/1.1\r\n\r\nWARC/1.1\r\n" + "x" * 900
     html = {4: long, 1: "same", 2: None, 7: "", 3: "same", 9: "WARC/1.1\r\n", 5: "\r\n\r\n", 6: "same"}
