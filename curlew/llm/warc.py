@@ -8,7 +8,8 @@ others as ``continuation`` with segment numbers, as the WARC standard has it for
 oversized payloads. ``read_archives`` streams the records back as the same rows,
 and ``records`` joins the chunks: a record of one chunk is checked where it is
 read; only longer ones are brought together, chunk by chunk in order, through one
-running hash, so no task ever holds a whole oversized record.
+running hash, so no reading task ever holds a whole oversized record. A writing task
+holds a payload once, as Spark hands it over, and copies only its chunks.
 
 The archives are written and read by Spark's own text source with the records'
 end as line separator, so they live in any store that Spark knows and a lost
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -41,6 +43,7 @@ from curlew.llm.common import stored
 
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
+_MARK = re.compile(re.escape(VERSION.encode()))
 _RFC4648, _HEX32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _HEADERS = "row string, kind string, segment int, segments int, length long, total long, digest string, prefix string, refers string, uri string"
 
@@ -56,15 +59,14 @@ def base32_sha1(payload: Column) -> Column:
 def cuts(payload: memoryview, chunk_bytes: int, text: bool) -> Iterator[tuple[int, int]]:
     """Bounds of the chunks: at most ``chunk_bytes`` each, none with the version
     mark inside, and no character of a text is split. One empty chunk for an empty payload."""
-    whole, mark, at = payload.obj, VERSION.encode(), 0
-    found = whole.find(mark)
+    at, found = 0, _MARK.search(payload)
     while True:
         end = min(len(payload), at + chunk_bytes)
-        if 0 <= found < end:
-            end = found + 4
-            found = whole.find(mark, end)
+        if found and found.start() < end:
+            end = found.start() + 4
+            found = _MARK.search(payload, end)
         elif text:
-            while at + 4 < end < len(payload) and whole[end] & 0xC0 == 0x80:
+            while at + 4 < end < len(payload) and payload[end] & 0xC0 == 0x80:
                 end -= 1
         yield at, end
         at = end
@@ -85,8 +87,9 @@ def _writer(chunk_bytes: int, date: str):
             for row, url, payload, kind, refers, digest, total in zip(*cols, strict=True):
                 row, url, kind, refers, digest, total = (x.as_py() for x in (row, url, kind, refers, digest, total))
                 name = "" if row is None else str(row)
-                data = b"" if kind == "revisit" or not payload.is_valid else payload.as_buffer().to_pybytes()
-                view, sha = memoryview(data), hashlib.sha1()
+                # the batch's own bytes, not a copy
+                view = memoryview(b"" if kind == "revisit" or not payload.is_valid else payload.as_buffer()).cast("B")
+                sha = hashlib.sha1()
                 bounds = list(cuts(view, chunk_bytes, True))
                 base = f"curlew:{name}:{digest}"
                 for k, (a, b) in enumerate(bounds):

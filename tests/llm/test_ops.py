@@ -121,6 +121,25 @@ def test_warc_round_trip(spark):
         assert (got[i]["kind"], got[i]["refers"]) == (("response", None) if origin == i else ("revisit", str(origin)))
 
 
+def test_warc_writer_does_not_copy_payloads():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    body = ("é" * 500 + "WARC/1.1 " + "x" * 1000).encode() * 16_000
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["u"]), pa.array([body], pa.binary()), pa.array(["response"]), pa.array([None], pa.int64()), pa.array(["D"]), pa.array([len(body)], pa.int64())], list("abcdefg"))
+    got, end = hashlib.sha1(), "\r\n\r\n".encode()
+    del body
+    tracemalloc.start()
+    for part in warc._writer(1 << 20, "1970")(iter([batch])):
+        for record in part.column(0):
+            got.update(record.as_py().partition(end)[2])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.digest() == hashlib.sha1(batch.column(2)[0].as_buffer()).digest()
+    assert peak < 24 << 20 < len(batch.column(2)[0].as_buffer())
+
+
 def test_leaks(spark):
     item = "What is the long name of the old river that runs past seven hills? The answer is the great winding river of the north."
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "completely different words stand in this other item here")], "item_id long, text string")
