@@ -49,3 +49,19 @@ def ordered_position(df: DataFrame, order: list[Column], out: str, name: str) ->
     inside = F.row_number().over(Window.partitionBy(pid).orderBy(*order)) - 1
     return (ranged.withColumn(out, inside).join(starts, pid)
             .withColumn(out, (F.col(out) + F.col("_start")).cast("long")).drop(pid, "_start"))
+
+
+def placed(df: DataFrame, group: str, order: list[Column], pos: str, total: str, name: str) -> DataFrame:
+    """``df`` with the 0-based position of each row in the order of its group (column
+    ``pos``) and the number of the group's rows (column ``total``). Rows are dealt to
+    ranges by group, order and a salt, so a group, or a run of equal rows, may lie in
+    many ranges; per range and group one count meets the others."""
+    pid, salt = fresh(df, "_pid"), fresh(df, "_salt")
+    keys = [F.col(group), *order, F.col(salt)]
+    ranged = stored(df.withColumn(salt, F.rand(17)).repartitionByRange(*keys).withColumn(pid, F.spark_partition_id()), name)
+    per = ranged.groupBy(group, pid).agg(F.count(F.lit(1)).alias("_c"))
+    whole = Window.partitionBy(group)
+    per = per.select(F.col(group).alias("_g"), F.col(pid).alias("_p"), (F.sum("_c").over(whole.orderBy(pid)) - F.col("_c")).alias("_before"), F.sum("_c").over(whole).alias("_all"))
+    inside = ranged.withColumn(pos, F.row_number().over(Window.partitionBy(pid, group).orderBy(*order, salt)) - 1)
+    joined = inside.join(per, (F.col(pid) == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
+    return joined.withColumn(pos, (F.col(pos) + F.col("_before")).cast("long")).withColumn(total, F.col("_all").cast("long")).select(*df.columns, pos, total)

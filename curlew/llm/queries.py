@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curlew.llm import ann, decontaminate, licenses, mixing, near_dup, quality, secret_scan, tokens, url_reputation, warc
+from curlew.llm import ann, decontaminate, licenses, merkle, mixing, near_dup, phrases, quality, secret_scan, sharding, tokens, url_reputation, warc
 from curlew.llm.common import table
+from curlew.llm.oracles import ORACLES as ORACLES
 from curlew.session import scratch_path
 
 END_ID = 2
@@ -78,8 +79,22 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id has a crc32 that 7 divides are tampered with: n_chars is one more."""
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    change = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    return merkle.verify(merkle.build(table(spark, sf_dir, "documents"), changed, change))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.assign(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_output, op2_license_digest, op3_warc_chunks, op4_decontaminate_bm25, op5_ann_kmeans_tree,
-    op6_secret_lexer, op7_quality_resampling, op8_bagminhash, op9_url_reputation, op10_mix_sources)}
-
-ORACLES: dict[str, str] = {}
+    op6_secret_lexer, op7_quality_resampling, op8_bagminhash, op9_url_reputation, op10_mix_sources, op11_phrases, op12_merkle_manifest, op13_sharding)}
