@@ -282,5 +282,5 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, covered: int
     cut = F.least(F.struct(_score("a", "f1", "f23").alias("score"), F.lit(1).alias("k"), F.col("f1").alias("l"), F.col("f23").alias("r")), F.struct(_score("a", "f12", "f3").alias("score"), F.lit(2).alias("k"), F.col("f12").alias("l"), F.col("f3").alias("r")))
     triples = triples.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a", cut.alias("cut")).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc())
-    best = pairs.unionByName(triples).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
-    return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    best = pairs.unionByName(triples).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
