@@ -91,7 +91,8 @@ def nb_scores(data: DataFrame, folds: DataFrame, alphas: list[float], nbits: int
     rows = tagged.select("id", "Repeat", "Fold", "y").join(F.broadcast(base), ["Repeat", "Fold"]).join(sums, ["id", "Repeat", "Fold"], "left")
     odds = F.array(*[F.col("base")[i] + F.coalesce(f"p{i}", F.lit(0.0)) for i in range(n)])
     out = rows.select("id", "Repeat", "Fold", "y", F.posexplode(odds).alias("at", "odds"))
-    score = 1.0 / (1.0 + F.exp(-F.col("odds")))
+    # equal rows tie, in whatever order their bits were summed
+    score = 1.0 / (1.0 + F.exp(-F.round("odds", 9)))
     return out.select((F.col("at") + 1).alias("trial"), "id", "Repeat", "Fold", "y", score.alias("score"), (score >= 0.5).cast("int").alias("pred"))
 
 

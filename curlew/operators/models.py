@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curlew.operators import batched as B
 from curlew.operators import metrics as M
 from curlew.operators import similarity as S
 from curlew.operators.split import seeded_hash
@@ -137,6 +138,8 @@ DEFAULTS = {
     "RandomForest": {"numTrees": "500", "maxDepth": "30"},
     "GradientBoosting": {"maxIter": "500", "stepSize": "0.1", "maxDepth": "6", "subsamplingRate": "0.8"},
     "LinearSVC": {"maxIter": "100", "C": "1.0"},
+    "KNN": {"n_neighbors": "5"},
+    "Bayesian": {"alpha": "1.0"},
 }
 
 # Search spaces (kind, low, high[, step]) per family.
@@ -146,8 +149,14 @@ SEARCH_SPACE = {
     "GradientBoosting": {"maxIter": ("int", 100, 1000, 100), "stepSize": ("log", 1e-3, 0.3),
                          "maxDepth": ("int", 3, 12, 1), "subsamplingRate": ("float", 0.5, 1.0)},
     "LinearSVC": {"C": ("log", 1e-3, 100.0)},
+    "KNN": {"n_neighbors": ("int", 1, 30, 1)},
+    "Bayesian": {"alpha": ("log", 1e-3, 10.0)},
 }
 
+#: Families whose folds and trials share their passes over the rows (``operators.batched``),
+#: each with the parameter that its trials vary. k-NN and naive Bayes need a column ``bits``.
+BATCHED = {"KNN": "n_neighbors", "Bayesian": "alpha", "LogisticRegression": "C"}
+
 #: Spark's trees stop there.
 MAX_DEPTH = 30
 
@@ -220,9 +229,38 @@ def build_estimator(model: str, params: dict, n_rows: float, seed: int = 42):
     if model == "LinearSVC":
         return LinearSVC(maxIter=int(float(p["maxIter"])), regParam=1.0 / (float(p["C"]) * n_rows),
                          weightCol="weight")
+    if model in BATCHED:
+        raise ValueError(f"{model} has no Spark ML estimator: it needs a column of bits")
     raise ValueError(f"unknown model {model!r}")
 
 
+def is_batched(model: str, data: DataFrame) -> bool:
+    return model in BATCHED and "bits" in data.columns
+
+
+def batched_scores(data: DataFrame, folds: DataFrame, model: str, trials: list[dict], id_col: str = "id",
+                   label: str = "label", nbits: int = 2048) -> DataFrame:
+    """Held-out scores (trial, id, Repeat, Fold, y, score, pred) of all trials at once."""
+    full = [DEFAULTS[model] | {k: str(v) for k, v in (t or {}).items()} for t in trials]
+    values = [float(p[BATCHED[model]]) for p in full]
+    if model == "KNN":
+        # equal numbers of neighbours are voted on once
+        ks = sorted({int(v) for v in values})
+        scores = B.knn_scores(data, folds, ks, nbits, id_col, label).withColumnRenamed("trial", "__k")
+        which = data.sparkSession.createDataFrame([(ks.index(int(v)) + 1, t + 1) for t, v in enumerate(values)], "__k int, trial int")
+        return scores.join(F.broadcast(which), "__k").drop("__k")
+    if model == "Bayesian":
+        return B.nb_scores(data, folds, values, nbits, id_col, label)
+    return B.logistic_scores(data, folds, values, nbits, id_col, label, max_iter=max(int(float(p["maxIter"])) for p in full))[0]
+
+
+def _batched_cv(data: DataFrame, folds: DataFrame, model: str, trials: list[dict], descriptor: str,
+                id_col: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """Scores and per-fold metrics, each with its trial."""
+    scores = cut_lineage(batched_scores(data, folds, model, trials, id_col, label))
+    return scores, B.cv_metrics(scores, folds, len(trials), descriptor, model)
+
+
 def _score(fitted, df: DataFrame) -> DataFrame:
     out = fitted.transform(df)
     if "probability" in out.columns:
@@ -241,7 +279,12 @@ def repeated_cv(data: DataFrame, folds: DataFrame, model: str, params: dict | No
     and the regularisation come from the train folds alone. The metric table
     has a row per (Repeat, Fold): ``status`` is ``ok``, or ``failed`` with the
     ``error`` and null metrics where the estimator refuses the fold's rows (one
-    class only, say). Unknown models and parameters, and failing Spark jobs, raise."""
+    class only, say). Unknown models and parameters, and failing Spark jobs, raise.
+    Families of ``BATCHED`` are fitted for all folds at once where ``data`` has ``bits``."""
+    if is_batched(model, data):
+        scores, found = _batched_cv(data, folds, model, [params or {}], descriptor, id_col, label)
+        pred = scores.select(F.col("id").alias(id_col), "y", "score", "Repeat", "Fold", F.lit(descriptor).alias("Descriptor"), F.lit(model).alias("Model"))
+        return pred, found.drop("trial")
     build_estimator(model, params or {}, 1, seed)
     return _cv(fold_tagged(data, folds, id_col), model, params, descriptor, id_col, label, max_workers, seed)
 
@@ -297,12 +340,18 @@ def tune(data: DataFrame, folds: DataFrame, model: str, n_trials: int = 50, metr
          max_workers: int = 4) -> tuple[dict, DataFrame]:
     """Seeded random search: mean metric over all folds per trial (a failed
     fold scores 0.0); best = argmax (ties: smaller trial). The features meet
-    their folds once for all trials."""
+    their folds once for all trials; trials of ``BATCHED`` families also share
+    their passes over the rows."""
     spark = data.sparkSession
     trials = trial_table(spark, [model], n_trials, seed).collect()   # n_trials x params rows
     by_trial: dict[int, dict] = {}
     for r in trials:
         by_trial.setdefault(r["trial"], {})[r["param"]] = r["value"]
+    if is_batched(model, data):
+        _, found = _batched_cv(data, folds, model, [by_trial[t] for t in sorted(by_trial)], descriptor, id_col, label)
+        sdf = cut_lineage(found.groupBy("trial").agg(F.avg(F.coalesce(F.col(metric), F.lit(0.0))).alias("score")))
+        best = sdf.orderBy(F.col("score").desc(), "trial").first()
+        return (by_trial[best["trial"]] if best else {}), sdf
     tagged = fold_tagged(data, folds, id_col)
     scores = []
     for t, params in sorted(by_trial.items()):
@@ -317,9 +366,19 @@ def tune(data: DataFrame, folds: DataFrame, model: str, n_trials: int = 50, metr
 
 def final_fit_score(train: DataFrame, test: DataFrame, model: str, params: dict | None = None,
                     id_col: str = "id", label: str = "label", threshold: float = 0.5,
-                    seed: int = 42) -> DataFrame:
+                    seed: int = 42, nbits: int = 2048) -> DataFrame:
     """Fit on all train rows, score test rows: (id, True_Label,
     Predicted_Label, Predicted_Probability, Prediction)."""
+    if model in ("KNN", "Bayesian"):
+        p = DEFAULTS[model] | {k: str(v) for k, v in (params or {}).items()}
+        if model == "KNN":
+            s = knn_vote(train, test, int(float(p["n_neighbors"])), id_col, "bits", label, nbits)
+        else:
+            s = bernoulli_nb_predict(bernoulli_nb_fit(train, "bits", label, float(p["alpha"]), nbits), test, id_col, "bits", label)
+            s = s.withColumn("pred", M.threshold_predict(F.col("prob"), threshold))
+        s = s.join(test.select(id_col, label), id_col)
+        return s.select(id_col, F.col(label).alias("True_Label"), F.col("pred").alias("Predicted_Label"),
+                        F.col("prob").alias("Predicted_Probability"), M.label_name(F.col("pred")).alias("Prediction"))
     tr = cut_lineage(class_weights(train, label))
     est = build_estimator(model, params or {}, tr.count(), seed).setLabelCol(label)
     fitted = est.fit(tr)

@@ -31,7 +31,7 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     from curlew.plans import (  # noqa: F401
         q_curation, q_features, q_similarity, q_split, q_metrics, q_reshape,
-        q_stats, q_models, q_sources,
+        q_stats, q_models, q_batched, q_sources,
     )
 
 

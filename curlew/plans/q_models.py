@@ -87,7 +87,7 @@ BASES = list(MD.DEFAULTS)
 
 def _cv_inputs(spark, sf, repeats=REPEATS):
     d = curated_split_fp(spark, sf).filter("split = 'train'")
-    data = MD.bits_to_vector(d).select("id", "label", "features")
+    data = MD.bits_to_vector(d).select("id", "label", "bits", "features")
     folds = SP.stratified_folds(d.select("id", "label"), "label", "id", k=FOLDS, repeats=repeats)
     return data, folds.select("id", "Repeat", "Fold")
 
@@ -124,7 +124,7 @@ def q_stacking(spark, sf):
     tr, te = d.filter("split = 'train'"), d.filter("split = 'test'")
     folds = SP.stratified_folds(tr.select("id", "label"), "label", "id", k=FOLDS, repeats=1) \
         .select("id", "Repeat", "Fold")
-    pred, _ = MD.stacking(tr.select("id", "label", "features"), te.select("id", "label", "features"), BASES, folds)
+    pred, _ = MD.stacking(tr.select("id", "label", "bits", "features"), te.select("id", "label", "bits", "features"), BASES, folds)
     return pred
 
 

@@ -57,7 +57,7 @@ def test_naive_bayes_scores_of_every_fold_and_smoothing(case):
                 v[r[2]] = 1
                 log = [np.log((y == c).mean()) + (v * np.log(p[c]) + (1 - v) * np.log(1 - p[c])).sum() for c in (0, 1)]
                 want = 1 / (1 + np.exp(log[0] - log[1]))
-                assert found[t, rep, fold, r[0]] == (pytest.approx(want, abs=1e-12), int(want >= 0.5), r[1])
+                assert found[t, rep, fold, r[0]] == (pytest.approx(want, abs=1e-9), int(want >= 0.5), r[1])
 
 
 def test_neighbours_of_every_fold_and_k(case, monkeypatch):
