@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(batch, column: int, limit: int = 1 << 20):
+    """Slices of an Arrow batch whose texts are at most ``limit`` bytes together (or one text)."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size.astype(np.int64) + 64)
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores appended until no column of ``df`` has it
     (columns are matched without regard to case, as Spark does)."""

@@ -13,13 +13,20 @@ processes, and points are drawn in time order only until all components have one
 
 Texts with the same words form one group first (by digest, partial sums). The
 signatures of the groups' first texts are banded: 40 bands of 6 components lose a
-pair of similarity 0.8 with probability 5e-6. In each bucket every member is
-verified against one hub on the exact shingle multisets; linked texts join classes.
-Buckets whose members are still in different classes do so with a second and third hub, and
-then compare those outside the bucket's largest class with the members of other classes,
-unless a bound on their overlap rules it out, so no candidate is left out, while a group of thousands of
-copies costs as many comparisons as it has members, not their square. Classes are connected components
-by minimum labels with pointer jumping; each round is a written table.
+pair of similarity 0.8 with probability 5e-6. The hub of a bucket is the member that
+meets the most others in all its buckets; each text is compared on the exact multisets with
+the best hub of its buckets, its center, and linked texts join classes. Buckets whose members
+are still in different classes do so with a second and third hub, one a text again, and
+then those outside the bucket's largest class meet the members of other classes.
+
+That last step is of all pairs that can still be linked, so no candidate is left out, but
+texts are not compared where their differences from a common center H rule it out. With M
+the shingles of H that a text lacks and E those that it has beyond H (as multisets),
+overlap(u, v) = |H| - |M_u| - |M_v| + |M_u & M_v| + |E_u & E_v|. The lacking positions of H
+are a mask of 512 bits, and shingles that no text of another class has cannot be in E_u & E_v,
+so both last terms have bounds that need no texts: a group of copies with edits of their own
+costs one comparison a text. Classes are connected components by minimum labels with
+pointer jumping; each round is a written table.
 
 Defined results: null and empty texts have no words and form one class (equal texts);
 texts of fewer than five words are one shingle; rows that repeat an id, or have
@@ -36,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curlew.llm.common import fresh, ordered_position, stored
+from curlew.llm.common import few, fresh, ordered_position, stored
 
 SHINGLE = 5
 BANDS, ROWS = 40, 6
@@ -156,13 +163,13 @@ def _multisets(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 def _sign(batches):
     for whole in batches:
         # few texts at a time are held as words
-        for a in range(0, whole.num_rows, 256):
-            batch = whole.slice(a, 256)
+        for batch in few(whole, 1):
             words = [_split(t) for t in batch.column(1).to_pylist()]
             digest = [hashlib.blake2b("\x1f".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest() for w in words]
             got = band_keys(signatures(*_multisets(words), len(words)))
             size = [max(1, len(w) - SHINGLE + 1) if w else 0 for w in words]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int32()), pa.array([k if w else [] for k, w in zip(got, words, strict=True)], pa.list_(pa.int64()))], ["doc_id", "digest", "n", "keys"])
+    _words.clear()  # the worker goes on with other stages
 
 
 #: Bits of the filter that tells which texts may be wanted (1 MB).
@@ -184,8 +191,10 @@ def _shingled(batches, bits):
     for batch in batches:
         slot = batch.column(2).to_numpy()
         batch = batch.filter(pa.array((bits[slot // 32] >> (slot % 32).astype(np.uint32)) & np.uint32(1) == 1))
-        sets = [np.sort(shingle_hashes(_split(t.as_py()))).view(np.int64) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "bag"])
+        for part in few(batch, 1):
+            sets = [np.sort(shingle_hashes(_split(t.as_py()))).tobytes() for t in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "bag"])
+    _words.clear()
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> float:
@@ -232,6 +241,46 @@ def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return rows.mapInArrow(_verified, "a long, b long, similarity double")
 
 
+MASK_WORDS = 8
+_CENTRED = "id long, center long, similarity double, met long, center_n long, mask array<long>"
+
+
+def mask_of(h: np.ndarray, copies: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The positions of the sorted multiset ``h`` that a text lacks, which has ``copies`` of
+    its ``counts`` equal shingles each; long multisets have several positions a bit."""
+    bits = 64 * MASK_WORDS
+    first = np.repeat(np.cumsum(counts) - counts, counts)
+    at = np.flatnonzero(np.arange(len(h)) - first >= np.repeat(copies, counts))
+    at = at * bits // len(h) if len(h) > bits else at
+    mask = np.zeros(MASK_WORDS, np.uint64)
+    np.bitwise_or.at(mask, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    return mask.view(np.int64)
+
+
+def _against_center(batches):
+    """Each text (id, center, bag, bag of the center) against its center."""
+    for batch in batches:
+        out = []
+        for bag, center in zip(batch.column(2), batch.column(3), strict=True):
+            u, h = np.frombuffer(bag.as_py(), np.int64), np.frombuffer(center.as_py(), np.int64)
+            (vu, cu), (vh, ch) = np.unique(u, return_counts=True), np.unique(h, return_counts=True)
+            _, iu, ih = np.intersect1d(vu, vh, assume_unique=True, return_indices=True)
+            copies = np.zeros(len(vh), np.int64)
+            copies[ih] = np.minimum(cu[iu], ch[ih])
+            met = int(copies.sum())
+            out.append((met / (len(u) + len(h) - met), met, len(h), mask_of(h, copies, ch)))
+        sims, met, size, masks = zip(*out) if out else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sims, pa.float64()), pa.array(met, pa.int64()), pa.array(size, pa.int64()), pa.array(masks, pa.list_(pa.int64()))], ["id", "center", "similarity", "met", "center_n", "mask"])
+
+
+def _centred(centers: DataFrame, bags: DataFrame) -> DataFrame:
+    """id, center, similarity, met, center_n, mask of (id, center)."""
+    left = bags.select("id", "bag")
+    right = bags.select(F.col("id").alias("center"), F.col("bag").alias("center_bag"))
+    rows = centers.select("id", "center").join(left, "id").join(right, "center").select("id", "center", "bag", "center_bag")
+    return rows.mapInArrow(_against_center, _CENTRED)
+
+
 def _counted(batches):
     for batch in batches:
         for key, bag in zip(batch.column(0), batch.column(1), strict=True):
@@ -249,22 +298,27 @@ def _mixed(inside: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _second_hubs(mixed: DataFrame, threshold: float) -> DataFrame:
-    """a, b: each bucket's member outside its largest class that meets the most, with the members of other classes."""
+    """a, b: each text of a mixed bucket with the best of the buckets' members outside the largest
+    class, if that is of another class than the text's own."""
     hub = mixed.where("label <> main").groupBy("key").agg(F.max(F.struct("meets", (-F.col("id")).alias("minus"), "n", "label")).alias("h"))
-    hub = hub.select("key", (-F.col("h.minus")).alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.label").alias("hub_label"))
+    hub = hub.select("key", F.col("h.meets").alias("hub_meets"), (-F.col("h.minus")).alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.label").alias("hub_label"))
     fits = F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n") - 1e-9
     pairs = mixed.join(hub, "key").where((F.col("label") != F.col("hub_label")) & fits)
-    return pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    best = pairs.groupBy("id").agg(F.max(F.struct("hub_meets", (-F.col("hub")).alias("minus"))).alias("h")).select("id", (-F.col("h.minus")).alias("hub"))
+    return best.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
 
 
-def _rest(mixed: DataFrame, bags: DataFrame, sims: DataFrame, threshold: float) -> DataFrame:
+def _rest(mixed: DataFrame, bags: DataFrame, near: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
     """a, b: the pairs of one bucket and two classes that can still reach the
-    threshold. Shingles that no text of another class has cannot be in such an overlap, so
-    a text's other shingles bound it; similarity s needs an overlap of s / (1 + s) of
-    both sizes together. Texts whose bound fails against the smallest size in their
-    bucket go first, so a large bucket of texts with edits of their own makes no pairs.
-    1 - similarity is a metric, so two texts whose similarities to the bucket's hub are
-    further apart than 1 - threshold cannot be that near either."""
+    threshold. Similarity s needs an overlap of s / (1 + s) of both sizes together.
+
+    Shingles that no text of another class has cannot be in such an overlap, so a text's
+    other shingles (``most``) bound it, and texts whose bound fails against the smallest
+    size in their bucket go first. For two texts of one center the overlap also follows
+    from their differences to it, of which the mask bounds M_u & M_v, and the shingles
+    beyond the center that another class has (``extra``) bound E_u & E_v. 1 - similarity
+    is a metric, so texts whose similarities to the center are further apart than
+    1 - threshold cannot be that near either."""
     here = mixed.select(F.col("id").alias("h"), "label").distinct()
     counted = bags.join(here.select("h"), F.col("id") == F.col("h"), "left_semi").mapInArrow(_counted, "id long, shingle long, c long")
     counted = stored(counted.join(here, F.col("id") == F.col("h")).drop("h"), "near-counted")
@@ -272,13 +326,29 @@ def _rest(mixed: DataFrame, bags: DataFrame, sims: DataFrame, threshold: float)
     most = counted.join(common, "shingle", "left_semi").groupBy("id").agg(F.sum("c").alias("most"))
     share = F.lit(threshold / (1 + threshold))
     able = mixed.join(most, "id").where(F.col("most") >= share * (F.col("n") + F.col("least")) - 1e-6)
-    known = sims.select(F.col("a").alias("p"), F.col("b").alias("q"), "similarity")
-    able = able.join(known, (F.least("id", "center") == F.col("p")) & (F.greatest("id", "center") == F.col("q")), "left")
-    able = stored(able.withColumn("near", F.when(F.col("id") == F.col("center"), 1.0).otherwise(F.col("similarity"))), "near-able")
-    few = able.where("label <> main").select("key", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"), F.col("most").alias("mu"), F.col("near").alias("su"))
-    other = able.select("key", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"), F.col("most").alias("mv"), F.col("near").alias("sv"), "main")
-    can = F.coalesce(F.abs(F.col("su") - F.col("sv")) <= 1 - threshold + 1e-9, F.lit(True)) & (F.least("mu", "mv") >= share * (F.col("nu") + F.col("nv")) - 1e-6) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9)
-    meet = few.join(other, "key").where("lu <> lv AND (lv = main OR u < v)").where(can)
+    center = labels.select(F.col("id").alias("center"), F.col("label").alias("center_label"))
+    from_center = near.join(center, "center").withColumnRenamed("id", "h")
+    able = able.join(from_center, F.col("id") == F.col("h")).drop("h")
+    lacks = F.col("center_n") - F.col("met")
+    beyond = F.col("n") - F.col("met")
+    # what a text shares with a center of another class is common; the rest of ``most`` lies beyond the center
+    extra = F.least(beyond, F.col("most") - F.when(F.col("label") != F.col("center_label"), F.col("met")).otherwise(0))
+    able = stored(able.select("key", "id", "n", "label", "main", "most", "center", "center_n", "similarity", "mask", lacks.alias("lacks"), extra.alias("extra")), "near-able")
+
+    def side(x: str, *more: str) -> DataFrame:
+        names = {"id": x, "n": f"n{x}", "label": f"l{x}", "most": f"m{x}", "center": f"c{x}", "similarity": f"s{x}", "mask": f"mask{x}", "lacks": f"lacks{x}", "extra": f"extra{x}"}
+        return able.select("key", *more, *[F.col(k).alias(v) for k, v in names.items()])
+
+    u, v = side("u", "main").where("lu <> main").drop("main"), side("v", "main", "center_n")
+    needs = share * (F.col("nu") + F.col("nv")) - 1e-6
+    shared = F.lit(0)
+    for i in range(MASK_WORDS):
+        shared = shared + F.bit_count(F.col("masku")[i].bitwiseAND(F.col("maskv")[i]))
+    width = F.ceil(F.col("center_n") / (64 * MASK_WORDS))  # positions a bit
+    both_lack = F.least(shared * width, "lacksu", "lacksv")
+    one_center = (F.col("center_n") - F.col("lacksu") - F.col("lacksv") + both_lack + F.least("extrau", "extrav") >= needs) & (F.abs(F.col("su") - F.col("sv")) <= 1 - threshold + 1e-9)
+    can = (F.least("mu", "mv") >= needs) & (F.least("nu", "nv") >= threshold * F.greatest("nu", "nv") - 1e-9) & ((F.col("cu") != F.col("cv")) | one_center)
+    meet = u.join(v, "key").where("lu <> lv AND (lv = main OR u < v)").where(can)
     return meet.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
 
 
@@ -296,27 +366,24 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     # the hub of a bucket: the member that meets the most others in all its buckets, as the origin of copies does
     meets = shared.groupBy("id").agg(F.sum("size").alias("meets"))
     inside = stored(shared.drop("size").join(meets, "id"), "near-members")
-    hub = inside.groupBy("key").agg(F.max(F.struct("meets", (-F.col("id")).alias("minus"), "n")).alias("hub"))
-    hub = hub.select("key", (-F.col("hub.minus")).alias("hub"), F.col("hub.n").alias("hub_n"))
-    fits = F.least("n", "hub_n") >= threshold * F.greatest("n", "hub_n") - 1e-9
-    hubs = inside.join(hub, "key").where(F.col("id") != F.col("hub")).where(fits)
-    hubs = stored(hubs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "near-hubs")
+    hub = inside.groupBy("key").agg(F.max(F.struct("meets", (-F.col("id")).alias("minus"))).alias("hub"))
+    hub = hub.select("key", F.col("hub.meets").alias("hub_meets"), F.col("hub.minus").alias("minus"))
+    # the center of a text: the best hub of its buckets (itself, if it is that)
+    centers = inside.join(hub, "key").groupBy("id").agg(F.max(F.struct("hub_meets", "minus")).alias("c")).select("id", (-F.col("c.minus")).alias("center"))
     bits = docs.sparkSession.sparkContext.broadcast(_wanted(inside.select("id")))
     slots = rows.withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(_FILTER)).cast("long"))
     bags = stored(slots.mapInArrow(lambda batches: _shingled(batches, bits.value), "id long, bag binary"), "near-bags")
-    # all similarities to the hubs are kept: they bound those of the rest
-    sims = stored(_similar(hubs, bags), "near-sims")
-    inside = stored(inside.join(hub.select("key", F.col("hub").alias("center")), "key"), "near-inside")
-    links = sims.where(F.col("similarity") >= threshold)
+    near = stored(_centred(centers, bags), "near-centred")
+    pair = near.where("id <> center").select(F.least("id", "center").alias("a"), F.greatest("id", "center").alias("b"), "similarity").distinct()
     ids = groups.select("id", F.col("id").alias("label"))
-    labels = components(ids, links, "near")
-    done = hubs
+    labels = components(ids, pair.where(F.col("similarity") >= threshold), "near")
+    done = pair.select("a", "b")
     for n in range(HUB_ROUNDS + 1):
         mixed = _mixed(inside, labels)
         if mixed.isEmpty():
             break
         # second hubs, each outside the largest class of its bucket; at last the rest, exactly
-        pairs = _second_hubs(mixed, threshold) if n < HUB_ROUNDS else _rest(mixed, bags, sims, threshold)
+        pairs = _second_hubs(mixed, threshold) if n < HUB_ROUNDS else _rest(mixed, bags, near, labels, threshold)
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "near-pairs")
         if pairs.isEmpty():
             continue

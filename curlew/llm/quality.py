@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curlew.llm.common import seeded_hash, stored
+from curlew.llm.common import few, seeded_hash, stored
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 _CACHE_LIMIT = 150_000
@@ -117,6 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 raw += got
                 if key in target:
                     good += got
+        _hashes.clear()
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(good[some])], ["bucket", "raw", "good"])
 
@@ -135,10 +136,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
+            for part in few(batch, 1):
                 weight, total = shared.value.scores(part.column(0).to_pylist(), part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(weight), pa.array(total)], ["doc_id", "log_weight", "score"])
+        _hashes.clear()
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     return rows.mapInArrow(run, "doc_id long, log_weight double, score double").withColumnRenamed("doc_id", id_col)
@@ -208,10 +209,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, k: int | None = None, id_col:
 
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
+            for part in few(batch, at[text_col]):
                 keys = part.column(at[id_col]).cast(pa.int64()).to_pylist()
                 _, total = shared.value.scores(keys, part.column(at[text_col]).to_pylist())
                 yield part.filter(pa.array(total >= least))
+        _hashes.clear()  # the worker goes on with other stages
 
     return docs.mapInArrow(run, docs.schema)

@@ -283,6 +283,49 @@ def test_near_duplicates_against_all_pairs(spark):
     assert near_dup.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size, repeats", [(60, False), (700, False), (90, True)])
+def test_near_duplicates_of_a_group_around_the_threshold(spark, size, repeats):
+    """300 texts at 0.7 to 0.9 of one origin, some edits shared; long texts have several
+    positions a bit of their masks, repeats make multisets."""
+    rng = np.random.default_rng(size)
+    base = words(size, size)
+    if repeats:
+        base = base[:15] * 6
+    common = [("y%d" % k, int(k * size / 12)) for k in range(12)]
+    rows = []
+    for i in range(300):
+        copy = list(base)
+        for k in rng.integers(0, 12, int(rng.integers(0, 3))):
+            copy[common[k][1]] = common[k][0]
+        for at in rng.integers(0, size, int(size * rng.uniform(0.0, 0.06))):
+            copy[at] = "x%d" % rng.integers(0, 10**9)
+        rows.append((i * 3, " ".join(copy), "s"))
+    bags = {i: np.unique(near_dup.shingle_hashes(near_dup._split(t)), return_counts=True) for i, t, _ in rows}
+    terms = sorted({int(v) for vals, _ in bags.values() for v in vals})
+    place = {v: k for k, v in enumerate(terms)}
+    x = np.zeros((len(rows), len(terms)), np.int16)
+    for r, (i, _, _) in enumerate(rows):
+        x[r, [place[int(v)] for v in bags[i][0]]] = bags[i][1]
+    label = list(range(len(rows)))
+
+    def root(r):
+        while label[r] != r:
+            r = label[r]
+        return r
+
+    around = 0
+    for r in range(len(rows)):
+        both = np.minimum(x[r], x[:r]).sum(axis=1)
+        sim = both / (x[r].sum() + x[:r].sum(axis=1) - both)
+        around += int(((sim > 0.7) & (sim < 0.8)).sum())
+        for q in np.flatnonzero(sim >= 0.8):
+            a, b = root(r), root(int(q))
+            label[max(a, b)] = min(a, b)
+    assert around > 1000
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs(spark, rows)).collect()}
+    assert got == {rows[r][0]: rows[root(r)][0] for r in range(len(rows))}
+
+
 def test_url_rules_and_reputation(spark):
     urls = {1: "http://A.Example.com/en/x?y", 2: "https://www.example.com/en/", 3: None, 4: "no scheme", 5: "http://x.net/es/1#t", 6: "ftp://bad.org/q", 7: "http://sub.bad.org?z", 8: "http://com/", 9: "http://good.org/"}
     pages = spark.createDataFrame([(i, u, "clash") for i, u in urls.items()], "page_id long, url string, host string")
