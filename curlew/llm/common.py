@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,6 +40,20 @@ def few(batch, column: int, limit: int = 1 << 20):
         at = to
 
 
+def releasing(task):
+    """A task over Arrow batches that gives its memory back at its end: Python workers live
+    on, and idle beside the stages that follow."""
+    @functools.wraps(task)
+    def run(batches, *args):
+        yield from task(batches, *args)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+    return run
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores appended until no column of ``df`` has it
     (columns are matched without regard to case, as Spark does)."""

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curlew.llm.common import stored
+from curlew.llm.common import releasing, stored
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
@@ -260,6 +260,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     for index in shards(benchmark, item_col, item_text_col, max_postings):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
+        @releasing
         def run(batches, shared=shared):
             for batch in batches:
                 yield batch.filter(pa.array([not search(shared.value, t.as_py(), threshold, min_question, min_answer) for t in batch.column(at)], pa.bool_()))

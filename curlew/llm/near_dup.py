@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curlew.llm.common import few, fresh, ordered_position, stored
+from curlew.llm.common import few, fresh, ordered_position, releasing, stored
 
 SHINGLE = 5
 BANDS, ROWS = 40, 6
@@ -160,6 +160,7 @@ def _multisets(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.concatenate([none, *(h for h, _ in parts)]), np.concatenate([np.zeros(0, np.int64), *(c for _, c in parts)]), owner
 
 
+@releasing
 def _sign(batches):
     for whole in batches:
         # few texts at a time are held as words
@@ -187,6 +188,7 @@ def _wanted(ids: DataFrame) -> np.ndarray:
     return out
 
 
+@releasing
 def _shingled(batches, bits):
     for batch in batches:
         slot = batch.column(2).to_numpy()
@@ -208,6 +210,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+@releasing
 def _verified(batches):
     for batch in batches:
         sims = [overlap(np.frombuffer(x.as_py(), np.int64), np.frombuffer(y.as_py(), np.int64)) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
@@ -257,6 +260,7 @@ def mask_of(h: np.ndarray, copies: np.ndarray, counts: np.ndarray) -> np.ndarray
     return mask.view(np.int64)
 
 
+@releasing
 def _against_center(batches):
     """Each text (id, center, bag, bag of the center) against its center."""
     for batch in batches:
@@ -281,6 +285,7 @@ def _centred(centers: DataFrame, bags: DataFrame) -> DataFrame:
     return rows.mapInArrow(_against_center, _CENTRED)
 
 
+@releasing
 def _counted(batches):
     for batch in batches:
         for key, bag in zip(batch.column(0), batch.column(1), strict=True):

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curlew.llm.common import few, seeded_hash, stored
+from curlew.llm.common import few, releasing, seeded_hash, stored
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 _CACHE_LIMIT = 150_000
@@ -109,6 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labelled_sample(labels, id_col, good_col, max_labels, seed)
     target = {k for k, good in known.items() if good and _fitting(k, seed)}
 
+    @releasing
     def count(batches):
         raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
@@ -134,6 +135,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """id, log_weight, score: a row for each row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x 8 bytes
 
+    @releasing
     def run(batches):
         for batch in batches:
             for part in few(batch, 1):
@@ -207,6 +209,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, k: int | None = None, id_col:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = {c: i for i, c in enumerate(docs.columns)}
 
+    @releasing
     def run(batches):
         for batch in batches:
             for part in few(batch, at[text_col]):
