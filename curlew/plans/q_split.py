@@ -47,7 +47,7 @@ def q_union_splits(spark, sf):
 
 @query("stratified_folds", "WITH " + LABELLED_DOCS + """,
 src AS (SELECT id, label FROM labelled WHERE entity IS NOT NULL AND label IS NOT NULL),
-rep AS (SELECT id, label, r AS Repeat FROM src, range(1, 3) t(r)),
+rep AS (SELECT id, label, r AS Repeat FROM src, range(1, 6) t(r)),
 h AS (SELECT *, ('0x' || substr(md5(CAST(41 + Repeat AS VARCHAR) || '|' || CAST(id AS VARCHAR)), 1, 15))::UBIGINT AS h
       FROM rep),
 cnt AS (SELECT label, count(*) AS c FROM src GROUP BY label),
@@ -58,7 +58,7 @@ SELECT id, CAST(Repeat AS INTEGER) AS Repeat, CAST((o + rn - 1) % 5 + 1 AS INTEG
 FROM rk JOIN off USING (label)""")
 def q_stratified_folds(spark, sf):
     d = C.drop_missing(T.labelled_documents(spark, sf), ["entity", "label"]).select("id", "label")
-    return SP.stratified_folds(d, "label", "id", k=5, repeats=2).select(
+    return SP.stratified_folds(d, "label", "id", k=5, repeats=5).select(
         "id", F.col("Repeat").cast("int"), "Fold")
 
 
