@@ -1,6 +1,7 @@
 """Licence scan by canonical digests.
 
-A text is brought to a canonical form: copyright lines go, case, punctuation and
+A text is brought to a canonical form: copyright notices go (``RIGHTS``: whole lines, also
+behind marks of a comment; a name without a capital, sign or year is no notice), case, punctuation and
 white space are levelled, equivalent spellings become one. The SHA-256 of the
 form is hash-joined to the digests of known licence texts. Looked up are the whole
 document, each of its lines, and each run of lines that begins with the first word
@@ -30,8 +31,20 @@ from pyspark.sql import functions as F
 
 from curlew.llm.common import stored
 
-RIGHTS = re.compile(r"(?m)^[ \t]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$")
+# A notice is a line that begins, after marks of a comment, with "copyright" and a year,
+# a sign or a holder's name, with a sign and a year or a name, or with the words on all
+# rights. Lines of a licence's body may begin with the word as well ("copyright notice",
+# "COPYRIGHT HOLDERS"): they stay, wherever the text is wrapped.
+RIGHTS = re.compile(r"""(?mx) ^ [^\w(©\n]* (?:
+    (?i:copyright) [^\w\n]*? (?: \([cC]\) | © | \d{4}\b | [<\[{][ ]*(?i:y) )
+  | (?i:copyright) [^\w\n]+ (?:(?i:by)[^\w\n]+)?
+      (?! (?i:and|disclaimers?|holders?|interests?|laws?|licen[cs]es?|notices?|or|owners?|statements?) \b ) [A-Z]
+  | \([cC]\) [ \t]* (?: © | \d{4}\b | (?i:copyright)\b )
+  | © [ \t]* (?: \d{4}\b | [A-Z<\[] )
+  | (?i:all[ ]rights[ ]reserved)
+) [^\n]* $""")
 RIGHTS_MARKS = ("copyright", "(c)", "©", "all rights reserved")
+NULL_SALTS = 64
 MARKS = re.compile(r"[^\w\s]+")
 
 # Spellings that count as equal in licence texts.
@@ -94,14 +107,17 @@ KNOWN: dict[str, list[str]] = {
 }
 
 # Full texts, by (licence, length of the form, its first word, its digest).
+# The digests are those of ``canonical`` over the texts as Debian's base-files package
+# ships them (Apache-2.0, BSD, GPL-2, GPL-3, LGPL-2.1, LGPL-3, MPL-2.0). They hold for every
+# wrap that leaves the copyright notices in them on lines of their own.
 FULL: list[tuple[str, int, str, str]] = [
-    ("Apache-2.0", 9706, "apache", "ebc600199db9838b4fc2d5288a12598c2702142177a89b3443f5cc87b137d94b"),
+    ("Apache-2.0", 9887, "apache", "036b5ff6d47b44974c624da95e5bf0ac7ddfe5030e41dfa7ff8ac0c1daa9f32b"),
     ("BSD-3-Clause", 1361, "redistribution", "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
-    ("GPL-2.0", 17054, "gnu", "c230c00f329737cb7ce3d97a266318b4c9d4c1fd321335e592b2ce1112179b88"),
-    ("GPL-3.0", 33274, "gnu", "010ce52b3b970c80b5447205f4afc3b42084811cda2d11b95178b1fd3940764f"),
-    ("LGPL-2.1", 25024, "gnu", "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345"),
+    ("GPL-2.0", 17118, "gnu", "331b500eb3c5ee796906547305df82fff4a35b3aa03c1d3ea84d32078292b2e6"),
+    ("GPL-3.0", 33406, "gnu", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("LGPL-2.1", 25217, "gnu", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
     ("LGPL-3.0", 7104, "gnu", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
-    ("MPL-2.0", 14274, "mozilla", "c2713eb9ffe7cf58eeb67ec5410a54ac745b6fb19c51c595bdfd96f92361166b"),
+    ("MPL-2.0", 14344, "mozilla", "3599de37bcef5820a1933fc9b0c5b5389b95fa5dc39cb6e05f4764ef1c2f2439"),
 ]
 
 
@@ -110,9 +126,10 @@ _SPELLED = dict(SPELLINGS)
 
 def canonical_lines(text: str | None) -> Iterator[str]:
     """The canonical forms of the lines of a text that have one."""
-    low = (text or "").lower()
+    text = text or ""
+    low = text.lower()
     if any(mark in low for mark in RIGHTS_MARKS):
-        low = RIGHTS.sub("", low)
+        low = RIGHTS.sub("", text).lower()
     for line in MARKS.sub(" ", low).replace("_", " ").split("\n"):
         words = line.split()
         if words:
@@ -173,8 +190,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
     found = stored(texts.mapInArrow(_digests(lengths), f"doc_id {id_type}, text_sha256 string, lines array<string>"), "license-digests")
     hits = found.select("doc_id", F.explode("lines").alias("digest")).join(catalog, "digest")
     per = hits.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.concat_ws(",", F.sort_array(F.collect_set("license"))).alias("line_licenses"))
-    per = per.withColumnRenamed("doc_id", "d")
-    return (found.drop("lines").join(catalog, F.col("text_sha256") == F.col("digest"), "left").drop("digest")
-            .join(per, F.expr("doc_id <=> d"), "left")
+    # the one row of the null id is repeated, so that rows without an id are dealt over tasks
+    lost = F.col("doc_id").isNull()
+    per = per.withColumn("k", F.explode(F.when(lost, F.sequence(F.lit(0), F.lit(NULL_SALTS - 1))).otherwise(F.array(F.lit(0))))).withColumnRenamed("doc_id", "d")
+    dealt = found.drop("lines").withColumn("salt", F.when(lost, F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SALTS)).cast("int")).otherwise(0))
+    return (dealt.join(catalog, F.col("text_sha256") == F.col("digest"), "left").drop("digest")
+            .join(per, F.expr("doc_id <=> d AND salt = k"), "left")
             .select(F.col("doc_id").alias(id_col), "text_sha256", "license", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
                     F.coalesce("line_licenses", F.lit("")).alias("line_licenses")))

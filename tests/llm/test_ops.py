@@ -89,6 +89,38 @@ def test_licenses_over_several_lines(spark):
         assert sorted(licenses.runs(text, {"a": [3, 7]})) == sorted(want)
 
 
+@pytest.mark.parametrize("mark", ["", "# ", " * "])
+def test_licenses_under_any_wrap(mark):
+    import textwrap
+
+    rows, lengths = licenses.known_digests()
+    digest = lambda form: hashlib.sha256(form.encode()).hexdigest()
+    for name, texts in licenses.KNOWN.items():
+        for text in texts:
+            for width in range(40, 121):
+                body = "\n".join(mark + line for line in textwrap.wrap(text, width, break_long_words=False))
+                assert dict(rows)[digest(licenses.canonical(body))] == name, (name, width)
+                forms = list(licenses.canonical_lines(f"{mark}Copyright (c) 2020 X\n{body}\ncode = 1"))
+                assert name in {dict(rows).get(digest(run)) for run in licenses.runs(forms, lengths)}, (name, width)
+
+
+def test_copyright_notices_and_lines_of_the_body():
+    for line in ["Copyright 2020 X", "copyright (c) 2020, x", "# Copyright Acme Corp.", "(c) 2020 X", "© Acme", "Copyright [yyyy] [name]", "// All rights reserved.", "COPYRIGHT ACME 2001", "Copyright by Acme"]:
+        assert licenses.canonical(line) == "", line
+    for line in ["copyright notice, this list", "Copyright notice", "COPYRIGHT HOLDERS BE LIABLE", "COPYRIGHT OWNER OR", "(c) You must retain", "copyrighted work", "copyright law"]:
+        assert licenses.canonical(line) != "", line
+
+
+def test_licenses_many_null_ids_and_clashing_names(spark):
+    rows = [(None, "Licensed under the MIT License." if i % 3 else "other", "s") for i in range(90)] + [(1, "x\nLicensed under the MIT License.", "s")]
+    table = docs(spark, rows).withColumn("digest", F.lit("z")).withColumn("license", F.lit("z")).withColumn("d", F.lit(0)).withColumn("k", F.lit(0)).withColumn("salt", F.lit(9))
+    got = [r.asDict() for r in licenses.scan(table).collect()]
+    lost = [r for r in got if r["doc_id"] is None]
+    # rows of one id, the null id as well, share what is found in any of them
+    assert len(got) == 91 and {(r["n_lines"], r["line_licenses"]) for r in lost} == {(60, "MIT")}
+    assert sum(r["license"] == "MIT" for r in lost) == 60
+
+
 def test_full_licenses():
     from pathlib import Path
 
