@@ -45,6 +45,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from curlew.llm.common import few, releasing
+
 LANES = 4096
 LANE_IDS = 256  # fewer lanes for blocks under LANES * LANE_IDS ids
 BLOCK_IDS = 1 << 20
@@ -295,7 +297,8 @@ def decode_block(payload: bytes) -> np.ndarray:
 
 # letters whose case and form need no table beyond Latin, and one mark after them
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-_CACHE_LIMIT = 700_000
+_CACHE_LIMIT = 150_000  # words of a generation, two of them a worker
+_SLICE_BYTES = 2 << 20  # texts that are encoded together
 _CHUNK = 50
 
 
@@ -329,6 +332,10 @@ class Encoder:
             self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
             self.marks = {m: self._whole([m])[0] for m in ("", *".,;:!?")}
 
+    def forget(self) -> None:
+        """Empty the cache: a worker process lives on after its task."""
+        self.new, self.old = {"": b""}, {}
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(g.ids, "<u4").tobytes() for g in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
@@ -431,6 +438,7 @@ BLOCKS = "file int, block int, ids long, doc_ids array<long>, lengths array<int>
 
 
 def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int):
+    @releasing
     def run(batches):
         from pyspark import TaskContext
 
@@ -447,8 +455,7 @@ def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
 
         for batch in batches:
-            for a in range(0, batch.num_rows, 2048):
-                part = batch.slice(a, 2048)
+            for part in few(batch, 1, _SLICE_BYTES):
                 names = part.column(0).to_pylist()
                 ids, totals = encoder.encode(part.column(1), end_id)
                 ends = np.cumsum(totals)
@@ -470,6 +477,7 @@ def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int):
                     first = last
         if keys:
             yield block()
+        encoder.forget()
     return run
 
 
@@ -500,6 +508,7 @@ def _block_starts(blocks: DataFrame) -> DataFrame:
 
 
 def _reader(with_ids: bool):
+    @releasing
     def run(batches):
         for batch in batches:
             for file, number, keys, lengths, payload in zip(*(batch.column(c) for c in ("file", "block", "doc_ids", "lengths", "payload")), strict=True):
