@@ -1,13 +1,11 @@
 """Secret scan by assignment-aware lexing.
 
 Base spans are what three fixed patterns find (assigned values after a credential
-word, access key ids, long hex runs). Beside them, texts that look like source or
-configuration are lexed into name-literal pairs: ``name = "literal"``,
-``name: literal``, ``"name": "literal"``, ``export NAME=literal`` and
-``setName("literal")``. Names that are bound to a literal are constants; where a
-later pair's right side is such a name (or a ``+`` chain of literals and names) the
-literal's spans flow to the new name. Every literal is then scored by the most
-sensitive name it reaches, its length, its character mix and its entropy, and
+word, access key ids, long hex runs). Beside them, texts that hold a sensitive word are
+lexed into name-literal pairs (``assignments``: assignments and mappings with type
+annotations and subscripts, calls, directives, tags, block scalars), and constants are
+propagated from name to name to a fixed point, by scope. Every literal is
+then scored by the most sensitive name it reaches, its length, its character mix and its entropy, and
 reported as kind ``lexed`` when the score reaches ``min_score``. A literal with spaces
 has the score of its longest part without one, after a scheme word such as Bearer;
 under names of passwords and passphrases, its length and number of words count too. Base spans always
@@ -31,14 +29,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curlew.llm import assignments
+
 # The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 #: What a text must hold somewhere to have a base span, for a linear-time matcher.
 MAYBE = r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"
-#: What a text must hold somewhere to have a pair.
-PAIRS = r"""[A-Za-z0-9_.-]["']?[ \t]*(?::=|=>|[:=])[ \t]*["'A-Za-z0-9+/_.$-]|[A-Za-z0-9_]\(["'A-Za-z0-9+/_.$-]"""
 
 KINDS = ("assign", "access", "hex", "lexed")
 
@@ -52,9 +50,10 @@ PHRASES = {"passphrase", "password", "passwd", "pwd"}
 SCHEMES = {"bearer", "basic", "digest", "token", "apikey", "negotiate", "ntlm", "hawk"}
 PLACEHOLDER = re.compile(r"(?i)^(x+|\*+|\.+|(your|my|some|an?)[-_ ].*|example.*|changeme|placeholder|none|null|true|false|undefined|todo|<.*|\$\{.*|%\(.*)$")
 
-_ATOM = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z0-9+/_.$-]+=*)"""
-_PAIR = re.compile(rf"""(?:(?<![\w.-])["']?(?P<name>[A-Za-z_][\w.-]*)["']?[ \t]*(?::=|=>|[:=])[ \t]*|(?<!\w)(?P<call>[A-Za-z_]\w*)\()(?P<value>{_ATOM}(?:[ \t]*\+[ \t]*{_ATOM})*)""", re.A)
-_ATOMS = re.compile(_ATOM, re.A)
+#: What a text must hold somewhere to have a pair with a sensitive name: one of these words,
+#: whole or in parts, and a mark that a pair has.
+PAIRS = "(?i)" + "|".join("[_.-]*".join(word) for word in SENSITIVE)
+PAIR_MARKS = r"[:=(<]|#[ \t]*define|ENV|ARG|setenv|setx"
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -96,26 +95,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def lexed_spans(text: str, min_score: float) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name with a high enough score."""
-    constants: dict[str, list[tuple[int, int]]] = {}
-    best: dict[tuple[int, int], float] = {}
-    phrases: set[tuple[int, int]] = set()
-    for m in _PAIR.finditer(text):
-        name, flows = m["name"] or m["call"], []
-        for atom in _ATOMS.finditer(text, m.start("value"), m.end("value")):
-            quoted = atom[0][0] in "\"'"
-            if not quoted and atom[0] in constants:
-                flows += constants[atom[0]]
-            elif quoted or any(c.isdigit() for c in atom[0]):
-                flows.append((atom.start() + quoted, atom.end() - quoted))
-        if not flows:
-            continue
-        if m["name"]:
-            constants[name] = flows
-        weight = name_weight(name)
-        for span in flows if weight else ():
-            best[span] = max(best.get(span, 0.0), weight)
-        if weight and not PHRASES.isdisjoint(_parts(name)):
-            phrases.update(flows)
+    best, phrases = {}, set()
+    for span, weight, phrase in assignments.literals_of(text, name_weight, lambda name: not PHRASES.isdisjoint(_parts(name))):
+        best[span] = weight
+        if phrase:
+            phrases.add(span)
     scores = {s: literal_score(text[s[0]:s[1]], s in phrases) for s in best}
     return sorted(s for s, weight in best.items() if 0.5 * weight + 0.5 * scores[s] >= min_score and scores[s] > 0)
 
@@ -142,7 +126,7 @@ def _scanner(min_score: float):
         for batch in batches:
             texts = batch.column(1)
             maybe = pc.fill_null(pc.match_substring_regex(texts, MAYBE), False)
-            pairs = pc.fill_null(pc.match_substring_regex(texts, PAIRS), False)
+            pairs = pc.fill_null(pc.and_(pc.match_substring_regex(texts, PAIRS), pc.match_substring_regex(texts, PAIR_MARKS)), False)
             n = batch.num_rows
             counts, shas, spans = [[0] * n for _ in KINDS], [_NONE] * n, [""] * n
             for i in pc.indices_nonzero(pc.or_(maybe, pairs)).to_pylist():

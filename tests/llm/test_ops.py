@@ -253,6 +253,46 @@ def test_secrets_with_spaces(line, found):
     assert spans == ([(at, at + len(value))] if found else [])
 
 
+SECRET = "q8RtY2mK0pLw7ZxB"
+
+
+@pytest.mark.parametrize("form", [
+    'pwd: str = "@"', 'let authToken: string = "@"', 'x: Optional[str] = 1\npwd: Dict[str, List[str]] = "@"', 'os.environ["CLIENT_CREDENTIAL"] = "@"', "config[\"auth\"][\"pwd\"] = '@'",
+    'var pwd string = "@"', 'const char *pwd = "@";', 'char pwd[] = "@";', 'pwd = f"@"', 'pwd = b"@"', "pwd=r'@'", 'pwd = """@"""', 'pwd = (\n    "@"\n)', 'pwd = (  # note\n    "@"\n)',
+    'pwd: |\n  @\nother: 1', 'pwd:\n  "@"', '<pwd>@</pwd>', '<add key="pwd" value="@"/>', '#define PWD "@"', "ENV PWD @", "export PWD=@", 'pwd := "@"', 'pwd = K\nK = "@"', 'K = "@"\nf(credential=K)',
+    'a = "@"\nb = a\nc = b\npwd = c', 'd = "@"\nc = d + "x"\npwd = c', 'def f():\n    k = "@"\n    return 1\ndef g():\n    pwd = k\n', 'm.put("pwd", "@")', 'setPwd("@")', 'pwd = os.getenv("X", "@")',
+    'pwd = bytes("@", "utf-8")', '"credential": {"value": "@"}', 'pwd = /* dev */ "@"', 'pwd = env or "@"', 'pwd = f"{K}"\nK = "@"', 'pwd = ["@"]', "don't say, the users' pwd = '@'"])
+def test_secret_forms(form):
+    text = form.replace("@", SECRET)
+    found = [text[a:b] for a, b in secret_scan.lexed_spans(text, 0.7)]
+    assert SECRET in found and set(found) <= {SECRET, "x"}
+
+
+@pytest.mark.parametrize("form", [
+    'title = "@"', 'pwd = getenv("DB_PASSWORD_MAIN")', 'f(k="@")\npwd = k', 'k = "@"\ndef g():\n    k = "plain"\n    pwd = k\n', 'a = b\nb = a\npwd = a\nc = "@"',
+    "The key: see section 12 of the token economy (access denied).", 'pwd = "${@}"'])
+def test_no_secret_forms(form):
+    assert secret_scan.lexed_spans(form.replace("@", SECRET), 0.7) == []
+
+
+def test_lexer_is_linear():
+    import time
+
+    for part in ["(", "a=", "a.b-", "pwd=/*", 'x="', "{", "a['b']", "<a ", "pwd: |\n", "[", "pwd=((", "def f\n", "a(b(", "'''", "pwd=[", "f(", "pwd=x+", "pwd: x[<", "pwd: x<[", "x:\n"]:
+        began = time.monotonic()
+        secret_scan.lexed_spans(part * (300_000 // len(part)), 0.7)
+        assert time.monotonic() - began < 20, part  # a quadratic scan takes minutes
+
+
+def test_secrets_base_spans_written_out(spark):
+    rows = [(1, 'é token = "abcdefghijkl" passwd=short', "s"), (2, "AKIA" + "A" * 14 + " AKIA" + "B" * 13, "s"), (3, "0123456789abcdef 0123456789abcde", "s")]
+    got = {r["doc_id"]: r for r in secret_scan.scan(docs(spark, rows + rows[:1])).collect()}
+    want = {1: "assign:2:23", 2: "access:0:18", 3: "hex:0:16"}
+    for i, spans in want.items():
+        assert got[i]["base_sha256"] == hashlib.sha256(spans.encode()).hexdigest() and spans in got[i]["spans"].split(",")
+    assert secret_scan.scan(docs(spark, rows + rows[:1])).count() == 4 and secret_scan.scan(docs(spark, [])).count() == 0
+
+
 def test_quality(spark):
     good = [(i, " ".join(f"a{x}" for x in np.random.default_rng(i).integers(0, 30, 50)), "s") for i in range(200)]
     junk = [(1000 + i, " ".join(f"!!{x} %%%" for x in np.random.default_rng(i).integers(0, 30, 50)), "s") for i in range(60)]
