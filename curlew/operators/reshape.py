@@ -76,6 +76,15 @@ def boxplot_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
         F.count(value).alias("n"))
 
 
+def boxplot_outliers(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The rows of ``df`` whose value lies beyond 1.5 IQR of the quartiles of their group, with
+    both fences. Null values are no outliers."""
+    q = df.groupBy(*keys).agg(F.percentile(value, [0.25, 0.75]).alias("__q"))
+    iqr = F.col("__q")[1] - F.col("__q")[0]
+    q = q.select(*keys, (F.col("__q")[0] - 1.5 * iqr).alias("fence_lo"), (F.col("__q")[1] + 1.5 * iqr).alias("fence_hi"))
+    return df.join(q, keys).filter((F.col(value) < F.col("fence_lo")) | (F.col(value) > F.col("fence_hi")))
+
+
 P_BINS = [0.0, 0.001, 0.01, 0.05, 1.0]
 
 

@@ -82,6 +82,16 @@ def q_boxplot_stats(spark, sf):
     return R.boxplot_stats(fold_results(spark, sf), ["Descriptor", "Model"], "ROC_AUC")
 
 
+@query("boxplot_outliers", """
+WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)
+SELECT e.event_type, event_id, value, q1 - 1.5 * (q3 - q1) AS fence_lo, q3 + 1.5 * (q3 - q1) AS fence_hi
+FROM events e JOIN q ON e.event_type = q.event_type
+WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""")
+def q_boxplot_outliers(spark, sf):
+    ev = T.table(spark, sf, "events").select("event_type", "event_id", "value")
+    return R.boxplot_outliers(ev, ["event_type"], "value")
+
+
 @query("descriptor_slice", "WITH " + FOLD_RESULTS + " SELECT * FROM results WHERE Descriptor = 'R'")
 def q_descriptor_slice(spark, sf):
     return fold_results(spark, sf).filter(F.col("Descriptor") == "R")
