@@ -6,14 +6,13 @@ Spearman correlation."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curlew.functions import hashing as H
 from curlew.functions import text as tx
+from curlew.operators.ranks import spearman_matrix
 
 
 def hashed_fingerprint(df: DataFrame, key: str = "key", nbits: int = 2048, min_n: int = 1,
@@ -104,8 +103,8 @@ def clean_numeric(df: DataFrame, cols: list[str], var_min: float = 0.01,
     an i that is itself dropped by this rule).
 
     Returns (kept columns, decision table ``feature, kept, reason``). One
-    aggregation pass for nulls and variances; Spearman by Spark ML (ranks by
-    a distributed sort). Only the k x k correlation matrix reaches the driver.
+    aggregation pass for nulls and variances; Spearman from ``operators.ranks``.
+    Only the k x k correlation matrix reaches the driver.
     """
     numeric = {f.name for f in df.schema.fields
                if f.dataType.typeName() in ("double", "float", "integer", "long", "short",
@@ -129,8 +128,7 @@ def clean_numeric(df: DataFrame, cols: list[str], var_min: float = 0.01,
         else:
             survivors.append(c)
     if len(survivors) > 1:
-        vec = VectorAssembler(inputCols=survivors, outputCol="__v").transform(d.select(*survivors))
-        m = Correlation.corr(vec, "__v", "spearman").first()[0].toArray()
+        m = spearman_matrix(d, survivors)
         for j in range(1, len(survivors)):
             if any(abs(m[i, j]) > corr_max for i in range(j)):
                 reasons[survivors[j]] = "correlated"
