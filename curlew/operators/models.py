@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from curlew.operators import batched as B
 from curlew.operators import metrics as M
 from curlew.operators import similarity as S
+from curlew.operators.kernels import KernelSVC
 from curlew.operators.split import seeded_hash
 from curlew.session import cut_lineage
 
@@ -135,20 +136,25 @@ def knn_vote(train: DataFrame, test: DataFrame, k: int = 5, id_col: str = "id",
 # configuration, mapped to Spark ML names).
 DEFAULTS = {
     "LogisticRegression": {"maxIter": "2000", "C": "1.0"},
-    "RandomForest": {"numTrees": "500", "maxDepth": "30"},
-    "GradientBoosting": {"maxIter": "500", "stepSize": "0.1", "maxDepth": "6", "subsamplingRate": "0.8"},
+    "RandomForest": {"numTrees": "500", "maxDepth": "30", "minInstancesPerNode": "1", "featureSubsetStrategy": "sqrt"},
+    "GradientBoosting": {"maxIter": "500", "stepSize": "0.1", "maxDepth": "6", "subsamplingRate": "0.8",
+                         "featureSubsetStrategy": "all", "minInstancesPerNode": "1"},
     "LinearSVC": {"maxIter": "100", "C": "1.0"},
+    "SVM": {"kernel": "rbf", "C": "1.0", "gamma": "scale", "coef0": "0.0", "degree": "3", "components": "1024", "maxIter": "100"},
     "KNN": {"n_neighbors": "5"},
     "Bayesian": {"alpha": "1.0"},
 }
 
-# Search spaces (kind, low, high[, step]) per family.
+# Search spaces (kind, low, high[, step]) or ("cat", choices) per family.
 SEARCH_SPACE = {
     "LogisticRegression": {"C": ("log", 1e-3, 100.0)},
-    "RandomForest": {"numTrees": ("int", 100, 1000, 100), "maxDepth": ("int", 3, 30, 1)},
+    "RandomForest": {"numTrees": ("int", 100, 1000, 100), "maxDepth": ("int", 3, 30, 1),
+                     "minInstancesPerNode": ("int", 1, 10, 1), "featureSubsetStrategy": ("cat", ["sqrt", "log2"])},
     "GradientBoosting": {"maxIter": ("int", 100, 1000, 100), "stepSize": ("log", 1e-3, 0.3),
-                         "maxDepth": ("int", 3, 12, 1), "subsamplingRate": ("float", 0.5, 1.0)},
+                         "maxDepth": ("int", 3, 12, 1), "subsamplingRate": ("float", 0.5, 1.0),
+                         "featureSubsetStrategy": ("float", 0.5, 1.0), "minInstancesPerNode": ("int", 1, 10, 1)},
     "LinearSVC": {"C": ("log", 1e-3, 100.0)},
+    "SVM": {"kernel": ("cat", ["rbf", "linear", "poly"]), "C": ("log", 1e-3, 100.0)},
     "KNN": {"n_neighbors": ("int", 1, 30, 1)},
     "Bayesian": {"alpha": ("log", 1e-3, 10.0)},
 }
@@ -185,19 +191,27 @@ def resolve_params(spark, requested: DataFrame, tuned: DataFrame | None = None)
 
 
 def trial_table(spark, models: list[str], n_trials: int, seed: int = 42) -> DataFrame:
-    """(model, trial, param, value) sampled from the search space by a
+    """(model, trial, param, value, choice) sampled from the search space by a
     seeded hash uniform u: log-uniform exp(ln lo + u (ln hi - ln lo)),
-    uniform float, stepped int lo + step * floor(u * (n_steps + 1))."""
-    rows = [(m, p, spec[0], *[float(x) for x in spec[1:]], *([None] * (4 - len(spec))))
-            for m in models for p, spec in SEARCH_SPACE.get(m, {}).items()]
-    sp = spark.createDataFrame(rows, "model string, param string, kind string, lo double, hi double, step double")
+    uniform float, stepped int lo + step * floor(u * (n_steps + 1)); of a list of
+    choices the one at floor(u * choices), whose position is the value and whose
+    name is in ``choice`` (null for numbers)."""
+    rows = []
+    for m in models:
+        for p, spec in SEARCH_SPACE.get(m, {}).items():
+            if spec[0] == "cat":
+                rows.append((m, p, "cat", 0.0, float(len(spec[1]) - 1), 1.0, list(spec[1])))
+            else:
+                rows.append((m, p, spec[0], *[float(x) for x in spec[1:]], *([None] * (4 - len(spec))), None))
+    sp = spark.createDataFrame(rows, "model string, param string, kind string, lo double, hi double, step double, names array<string>")
     t = sp.withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(n_trials))))
     u = (seeded_hash(seed, "model", "trial", "param") / F.lit(float(2 ** 60)))
     nsteps = F.floor((F.col("hi") - F.col("lo")) / F.col("step"))
     val = F.when(F.col("kind") == "log", F.exp(F.log("lo") + u * (F.log("hi") - F.log("lo")))) \
         .when(F.col("kind") == "float", F.col("lo") + u * (F.col("hi") - F.col("lo"))) \
         .otherwise(F.col("lo") + F.col("step") * F.least(F.floor(u * (nsteps + 1)), nsteps))
-    return t.select("model", F.col("trial").cast("int"), "param", val.alias("value"))
+    return t.withColumn("value", val).select("model", F.col("trial").cast("int"), "param", "value",
+                                             F.get("names", F.col("value").cast("int")).alias("choice"))
 
 
 def bits_to_vector(df: DataFrame, bits: str = "bits", nbits: int = 2048, out: str = "features") -> DataFrame:
@@ -221,14 +235,21 @@ def build_estimator(model: str, params: dict, n_rows: float, seed: int = 42):
         if depth > MAX_DEPTH:
             raise ValueError(f"maxDepth {depth}: Spark's trees have at most {MAX_DEPTH} levels")
         return RandomForestClassifier(numTrees=int(float(p["numTrees"])), maxDepth=depth,
+                                      minInstancesPerNode=int(float(p["minInstancesPerNode"])),
+                                      featureSubsetStrategy=p["featureSubsetStrategy"],
                                       weightCol="weight", seed=seed)
     if model == "GradientBoosting":
         return GBTClassifier(maxIter=int(float(p["maxIter"])), stepSize=float(p["stepSize"]),
                              maxDepth=int(float(p["maxDepth"])),
-                             subsamplingRate=float(p["subsamplingRate"]), seed=seed, weightCol="weight")
+                             subsamplingRate=float(p["subsamplingRate"]), featureSubsetStrategy=p["featureSubsetStrategy"],
+                             minInstancesPerNode=int(float(p["minInstancesPerNode"])), seed=seed, weightCol="weight")
     if model == "LinearSVC":
         return LinearSVC(maxIter=int(float(p["maxIter"])), regParam=1.0 / (float(p["C"]) * n_rows),
                          weightCol="weight")
+    if model == "SVM":
+        gamma = p["gamma"] if p["gamma"] == "scale" else float(p["gamma"])
+        return KernelSVC(p["kernel"], float(p["C"]), gamma, float(p["coef0"]), int(float(p["degree"])),
+                         int(float(p["components"])), int(float(p["maxIter"])), seed)
     if model in BATCHED:
         raise ValueError(f"{model} has no Spark ML estimator: it needs a column of bits")
     raise ValueError(f"unknown model {model!r}")
@@ -346,7 +367,7 @@ def tune(data: DataFrame, folds: DataFrame, model: str, n_trials: int = 50, metr
     trials = trial_table(spark, [model], n_trials, seed).collect()   # n_trials x params rows
     by_trial: dict[int, dict] = {}
     for r in trials:
-        by_trial.setdefault(r["trial"], {})[r["param"]] = r["value"]
+        by_trial.setdefault(r["trial"], {})[r["param"]] = r["value"] if r["choice"] is None else r["choice"]
     if is_batched(model, data):
         _, found = _batched_cv(data, folds, model, [by_trial[t] for t in sorted(by_trial)], descriptor, id_col, label)
         sdf = cut_lineage(found.groupBy("trial").agg(F.avg(F.coalesce(F.col(metric), F.lit(0.0))).alias("score")))

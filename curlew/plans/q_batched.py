@@ -13,6 +13,7 @@ from curlew.operators import features as FE
 from curlew.operators import metrics as M
 from curlew.operators import models as MD
 from curlew.operators import split as SP
+from curlew.operators.kernels import KERNELS
 from curlew.plans.catalog import METRIC_NAMES, metrics10_sql, query
 from curlew.plans.q_models import _CUR_FP, FOLDS, REPEATS, curated_split_fp
 from curlew.session import cut_lineage, scratch_path
@@ -177,3 +178,16 @@ def q_evaluation_grid(spark, sf):
     got = EV.evaluation_grid(families, [*FAMILIES, "TabPFN"], folds, path, descriptors=[*families, "Mordred"])
     bounded = reduce(lambda a, b: a & b, [F.coalesce(F.col(c), F.lit(0.0)).between(-1, 1) for c in M.METRICS])
     return got.where(bounded).select(*EV.CELL, "status", (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("n"), (F.col("tp") + F.col("fn")).alias("positives"))
+
+
+@query("svm_scores", _CUR_FP + """, k AS (SELECT unnest(['rbf', 'linear', 'poly']) AS Kernel)
+SELECT id, Kernel, CAST(label AS INTEGER) AS True_Label FROM te CROSS JOIN k""")
+def q_svm_scores(spark, sf):
+    """Machines of all three kernels, fitted on the train rows: the test rows that have a
+    probability and the label that it calls for."""
+    d = cut_lineage(MD.bits_to_vector(curated_split_fp(spark, sf)))
+    train, test = d.filter("split = 'train'"), d.filter("split = 'test'")
+    scored = [MD.final_fit_score(train, test, "SVM", {"kernel": k}).withColumn("Kernel", F.lit(k)) for k in KERNELS]
+    p = F.col("Predicted_Probability")
+    right = p.between(0, 1) & (F.col("Predicted_Label") == M.threshold_predict(p, 0.5))
+    return reduce(DataFrame.unionByName, scored).where(right).select("id", "Kernel", F.col("True_Label").cast("int").alias("True_Label"))

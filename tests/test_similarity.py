@@ -72,3 +72,22 @@ def test_butina_rounds_equal_sequential(spark, seed):
     nb = {(a, b) for a, b in pairs} | {(b, a) for a, b in pairs}
     assert not any((a, b) in nb for a in cents for b in cents)     # independent set
     assert all(c == i or (i, c) in nb for i, c in got.items())     # member neighbours centroid
+
+
+@pytest.mark.parametrize("cells", [None, 1000])
+def test_density_curve(spark, cells):
+    rng = np.random.default_rng(9)
+    v = np.concatenate([rng.beta(2, 5, 300), rng.integers(0, 8, 100) / 8.0, [0.93]])
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,)], "sim double").repartition(3)
+    got = sorted((r.point, r.x, r.height) for r in S.density_curve(df, per_bandwidth=cells).collect())
+    h = v.std(ddof=1) * len(v) ** -0.2
+    x = np.linspace(v.min(), v.max(), 200)
+    want = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).sum(1) / (h * np.sqrt(2 * np.pi)) * (v.max() - v.min()) / 40
+    assert [p for p, _, _ in got] == list(range(200))
+    assert np.allclose([a for _, a, _ in got], x, atol=1e-12)
+    assert np.abs(np.array([a for _, _, a in got]) / want - 1).max() < (1e-12 if cells is None else 1e-6)
+
+
+def test_density_curve_without_spread(spark):
+    for rows in ([], [(0.5,)], [(0.5,)] * 3, [(None,)]):
+        assert S.density_curve(spark.createDataFrame(rows, "sim double")).count() == 0
