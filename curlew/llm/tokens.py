@@ -297,7 +297,7 @@ def decode_block(payload: bytes) -> np.ndarray:
 
 # letters whose case and form need no table beyond Latin, and one mark after them
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-_CACHE_LIMIT = 150_000  # words of a generation, two of them a worker
+_CACHE_LIMIT = 400_000  # words of a generation, two of them a worker
 _SLICE_BYTES = 4 << 20  # texts that are encoded together
 _CHUNK = 50
 
