@@ -68,7 +68,7 @@ def test_every_family_fits_once(spark):
     """Each model of the catalogue, fitted with few rounds, scores 80 rows better than chance."""
     rows = [(i, i % 2, [i % 5] + ([8, 9] if i % 2 else [6, 7]), "train" if i % 4 else "test") for i in range(80)]
     df = MD.bits_to_vector(spark.createDataFrame(rows, "id long, label int, bits array<int>, split string"), nbits=16).cache()
-    few = {"RandomForest": {"numTrees": 5, "maxDepth": 4}, "GradientBoosting": {"maxIter": 3, "maxDepth": 2}, "LinearSVC": {"maxIter": 20}}
+    few = {"RandomForest": {"numTrees": 5, "maxDepth": 4}, "GradientBoosting": {"maxIter": 3, "maxDepth": 2}, "LinearSVC": {"maxIter": 20}, "SVM": {"components": 32, "maxIter": 20}}
     for model in MD.DEFAULTS:
         got = MD.final_fit_score(df.where("split = 'train'"), df.where("split = 'test'"), model, few.get(model), nbits=16).collect()
         assert len(got) == 20 and all(0 <= r["Predicted_Probability"] <= 1 for r in got), model
