@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from curlew.operators import similarity as S
-from curlew.operators.cluster import butina_clusters, butina_sequential
+from curlew.operators.cluster import butina_clusters, butina_copies, butina_sequential
 
 
 def rand_bits(rng, n, nbits=64):
@@ -74,6 +74,48 @@ def test_butina_rounds_equal_sequential(spark, seed):
     assert all(c == i or (i, c) in nb for i, c in got.items())     # member neighbours centroid
 
 
+def test_copies_are_clustered_without_their_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    bits = rand_bits(rng, 60)
+    rows = [(i, bits[i % 60]) for i in rng.permutation(180).tolist()] + [(7, bits[7]), (3, bits[20])]  # a row twice, an id with two texts
+    df = spark.createDataFrame(rows, "id long, bits array<int>").repartition(4)
+    classes, members, pairs = S.tanimoto_classes(df, 0.5, nbits=64, block_rows=16)
+    assert pairs.count() < 60 * 60 / 2
+    ids = sorted({i for i, _ in rows})
+    near = {(min(i, j), max(i, j)) for i, a in rows for j, b in rows if i != j and a and len(set(a) & set(b)) >= 0.5 * len(set(a) | set(b))}
+    got = {r.id: r for r in butina_copies(classes, members, pairs).collect()}
+    assert {i: r.cluster_id for i, r in got.items()} == butina_sequential(ids, sorted(near))
+    assert all(r.degree == sum(i in p for p in near) and r.is_centroid == (r.cluster_id == i) for i, r in got.items())
+    assert {(r.id_a, r.id_b) for r in S.tanimoto_pairs(df, 0.5, nbits=64, block_rows=16).collect()} == near
+
+
+@pytest.mark.parametrize("metric", ["tanimoto", "hamming"])
+def test_rows_move_once_a_block_and_stay_packed(spark, monkeypatch, metric):
+    """Several blocks and tiles, with copies on both sides; what is dealt out is a bit a
+    position, once for each left block."""
+    monkeypatch.setattr(S, "BLOCKS", 3)
+    rng = np.random.default_rng(6)
+    bits = [sorted(rng.choice(64, rng.integers(0, 30), replace=False).tolist()) for _ in range(150)]
+    t = spark.createDataFrame([(i, bits[i % 150]) for i in range(400)], "id long, bits array<int>")
+    q = spark.createDataFrame([(1000 + i, bits[(3 * i) % 150]) for i in range(70)], "id long, bits array<int>")
+    seen = []
+    met = S._met
+    monkeypatch.setattr(S, "_met", lambda left, right, *a: seen.append((left.count(), right.count(), right.schema["__sig"].dataType.simpleString())) or met(left, right, *a))
+    got = {}
+    for r in S.similarity_topn(q, t, 4, nbits=64, block_rows=8, metric=metric).collect():
+        got.setdefault(r.qid, {})[r["rank"]] = (r.tid, r.inter, r.sim)
+    (queries, right, kind), = seen
+    assert queries <= 50 and right <= 4 * 400 and kind == "binary"
+    for i in range(70):
+        a, want = set(bits[(3 * i) % 150]), []
+        for j in range(400):
+            b = set(bits[j % 150])
+            inter = len(a & b)
+            sim = len(a) + len(b) - 2 * inter if metric == "hamming" else inter / len(a | b) if a | b else 0.0
+            want.append((sim if metric == "hamming" else -sim, j, inter, float(sim)))
+        assert [got[1000 + i][r] for r in range(1, 5)] == [(j, inter, sim) for _, j, inter, sim in sorted(want)[:4]]
+
+
 @pytest.mark.parametrize("cells", [None, 1000])
 def test_density_curve(spark, cells):
     rng = np.random.default_rng(9)
