@@ -154,3 +154,12 @@ def test_logistic_scales_on_the_train_rows_of_each_fold(case):
         w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
         g = 2.0 * s.T @ (w * (1 / (1 + np.exp(-s @ b)) - y)) + np.append(b[:-1], 0)
         assert np.abs(g).max() < 1e-5
+
+
+def test_bits_are_local_by_the_bytes_sent():
+    # 13,000 rows of 200 positions: 213 MB unfolded, 11 MB as sent
+    assert B.is_local(13_000, 2048, 13_000 * 200, 1250, 8, B.LOCAL_BYTES)
+    assert not B.is_local(13_000, 2048, None, 1250, 8, B.LOCAL_BYTES)
+    assert not B.is_local(60_000, 2048, 60_000 * 200, 25, 8, B.LOCAL_BYTES)  # few columns, many rows
+    assert not B.is_local(10_000_000, 2048, 10_000_000 * 200, 1250, 8, B.LOCAL_BYTES)
+    assert not B.is_local(10, 64, 100, 25, 8, 0)
