@@ -1,7 +1,7 @@
 """Stateless curation projections on a streaming source.
 
-Validation, standardisation and fingerprints are per-row Catalyst
-expressions, so the batch operators apply unchanged to a streaming
+Validation, standardisation and fingerprints are per-row expressions (Catalyst
+and Arrow), so the batch operators apply unchanged to a streaming
 DataFrame; nothing here keeps state. Deduplication across a stream would
 need state and is done in batch (the source has no streaming)."""
 
