@@ -9,6 +9,7 @@ from curlew.operators import clean as C
 from curlew.operators import split as SP
 from curlew.plans.catalog import CURATED_DOCS, DOCS_KEYED, LABELLED_DOCS, query, strat_split_sql
 from curlew.plans.q_features import docs_keyed
+from curlew.session import cut_lineage
 from curlew.sources import tables as T
 
 
@@ -20,8 +21,9 @@ def q_stratified_split(spark, sf):
 
 
 def _curated_split(spark, sf):
-    cur = C.curated_entities(T.labelled_documents(spark, sf)).select("id", "key", "label")
-    return SP.stratified_split(cur, "label", "id")
+    """The texts are curated once, and once split; what follows reads rows."""
+    cur = cut_lineage(C.curated_entities(T.labelled_documents(spark, sf)).select("id", "key", "label"))
+    return cut_lineage(SP.stratified_split(cur, "label", "id"))
 
 
 @query("class_distribution", "WITH " + CURATED_DOCS + ","

@@ -50,3 +50,16 @@ def test_stratified_split_and_folds(spark):
             cnts = [r["count"] for r in per if r.Repeat == rep and r.label == lab]
             assert max(cnts) - min(cnts) <= 1
     assert folds.count() == 2 * 503
+
+
+def test_union_splits_curates_the_texts_once(spark, tmp_path):
+    from curlew.plans import q_split as Q
+    docs = [(i, f"some words of the text number {'abcdefghij'[i % 10]} and {'klmnopqrst'[i // 10]}", "en", "web") for i in range(60)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = Q.q_union_splits(spark, str(tmp_path))
+    # what is left to do reads the split rows, not the documents
+    assert "parquet" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
+    rows = got.collect()
+    assert len({r["id"] for r in rows}) == len(rows) == 60
+    assert sum(r["split"] == "test" for r in rows) == 12
