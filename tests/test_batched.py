@@ -163,3 +163,23 @@ def test_bits_are_local_by_the_bytes_sent():
     assert not B.is_local(60_000, 2048, 60_000 * 200, 25, 8, B.LOCAL_BYTES)  # few columns, many rows
     assert not B.is_local(10_000_000, 2048, 10_000_000 * 200, 1250, 8, B.LOCAL_BYTES)
     assert not B.is_local(10, 64, 100, 25, 8, 0)
+
+
+def test_naive_bayes_sends_each_row_once(case):
+    """The scoring plan meets no row with its bits again; repeated ids count as often as they come."""
+    rows, df, folds, tags = case
+    plan = B.nb_scores(df, folds, [1.0], NBITS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "MapInArrow" in plan
+    twice = got(B.nb_scores(df.unionByName(df), folds, [1.0], NBITS))
+    assert B.nb_scores(df.unionByName(df), folds, [1.0], NBITS).count() == 2 * 2 * len(rows) and len(twice) == 2 * len(rows)
+    for rep, fold, train, test in held_out(rows, tags):
+        x = np.zeros((len(train), NBITS))
+        for k, r in enumerate(train):
+            x[k, r[2]] = 1
+        y = np.array([r[1] for r in train])
+        p = np.array([(2 * x[y == c].sum(axis=0) + 1) / (2 * (y == c).sum() + 2) for c in (0, 1)])
+        for r in test:
+            v = np.zeros(NBITS)
+            v[r[2]] = 1
+            log = [np.log((y == c).mean()) + (v * np.log(p[c]) + (1 - v) * np.log(1 - p[c])).sum() for c in (0, 1)]
+            assert twice[1, rep, fold, r[0]][0] == pytest.approx(1 / (1 + np.exp(log[0] - log[1])), abs=1e-9)
