@@ -313,11 +313,12 @@ class Encoder:
     go to the tokenizer without the steps that would not change them.
     ``by_word=False`` encodes whole texts."""
 
-    def __init__(self, path: str, by_word: bool = True):
+    def __init__(self, path: str, by_word: bool = True, kept_words: int = _CACHE_LIMIT):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
+        self.kept_words = kept_words
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         if by_word:
@@ -385,7 +386,7 @@ class Encoder:
         if not self.by_word:
             got = [g + end for g in self._whole(texts.to_pylist())]
             return np.frombuffer(b"".join(got), "<u4"), np.array([len(g) // 4 for g in got], np.int64)
-        if len(self.new) > _CACHE_LIMIT:
+        if len(self.new) > self.kept_words:
             self.old, self.new = self.new, {"": b""}
         # where lower case is a matter of single letters and no special token stands, it joins words of a sentence's start with the others
         simple = pc.invert(pc.match_substring_regex(texts, "[^\\x{0}-\\x{ff}]|<\\|"))
@@ -416,30 +417,30 @@ class Encoder:
         return flat.take(where), totals
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, int], Encoder] = {}
 
 
-def _encoder(path: str, by_word: bool) -> Encoder:
+def _encoder(path: str, by_word: bool, kept_words: int = _CACHE_LIMIT) -> Encoder:
     """One for each worker process."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if (path, by_word) not in _encoders:
-        _encoders[path, by_word] = Encoder(path, by_word)
-    return _encoders[path, by_word]
+    if (path, by_word, kept_words) not in _encoders:
+        _encoders[path, by_word, kept_words] = Encoder(path, by_word, kept_words)
+    return _encoders[path, by_word, kept_words]
 
 
 _BLOCK = pa.schema([("file", pa.int32()), ("block", pa.int32()), ("ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("payload", pa.binary())])
 BLOCKS = "file int, block int, ids long, doc_ids array<long>, lengths array<int>, payload binary"
 
 
-def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int):
+def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int, kept_words: int):
     @releasing
     def run(batches):
         from pyspark import TaskContext
 
         file, number = TaskContext.get().partitionId(), 0
-        encoder = _encoder(path, by_word)
+        encoder = _encoder(path, by_word, kept_words)
         keys: list = []
         held: list[np.ndarray] = []
         counts: list[np.ndarray] = []
@@ -477,8 +478,9 @@ def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int):
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text",
-                 by_word: bool = True, files: int | None = None, block_ids: int = BLOCK_IDS) -> None:
-    """Write the ids of all documents, in ascending order of id, as a corpus of blocks."""
+                 by_word: bool = True, files: int | None = None, block_ids: int = BLOCK_IDS, kept_words: int = _CACHE_LIMIT) -> None:
+    """Write the ids of all documents, in ascending order of id, as a corpus of blocks.
+    ``kept_words`` (of a generation of the word cache) trades a worker's memory for time."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the borders of the files come from the ids alone, so the texts are read once
@@ -488,7 +490,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
         file = F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(borders))]), lambda b: b < F.col("doc_id"))), F.lit(0))
         file = F.when(F.col("doc_id").isNull(), files - 1).otherwise(file)
     dealt = rows.repartitionById(files, file.cast("int")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
-    dealt.mapInArrow(_block_writer(tokenizer, end_id, by_word, block_ids), BLOCKS).write.option("compression", "none").parquet(path)
+    dealt.mapInArrow(_block_writer(tokenizer, end_id, by_word, block_ids, kept_words), BLOCKS).write.option("compression", "none").parquet(path)
 
 
 def _block_starts(blocks: DataFrame) -> DataFrame:

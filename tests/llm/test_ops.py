@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -468,3 +469,13 @@ def test_pipeline_stages_keep_columns(spark):
         table = stage(spark, table, folder)
         assert table.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
     assert corpus_pipeline.STAGES[-1][1](spark, table, folder).count() == table.count() > 0
+
+
+def test_word_cache_keeps_two_generations_of_its_size():
+    from curlew.llm import queries, tokens
+    texts = [pa.array([" ".join(f"{a}{b}{c}" for c in "abcdefgh") + " Word."]) for a in "klmn" for b in "opqr"]
+    small, large = (tokens.Encoder(queries.tokenizer_path(), True, n) for n in (20, 10_000))
+    for t in texts:
+        a, b = small.encode(t, 2), large.encode(t, 2)
+        assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
+    assert len(small.new) + len(small.old) < 80 and not large.old
