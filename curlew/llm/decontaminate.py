@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curlew.llm.common import releasing, stored
+from curlew.llm.common import few, releasing, stored
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
@@ -262,8 +262,9 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
 
         @releasing
         def run(batches, shared=shared):
-            for batch in batches:
-                yield batch.filter(pa.array([not search(shared.value, t.as_py(), threshold, min_question, min_answer) for t in batch.column(at)], pa.bool_()))
+            # parts of a few texts, so that no second copy of a whole batch is held
+            for part in (p for batch in batches for p in few(batch, at)):
+                yield part.filter(pa.array([not search(shared.value, t.as_py(), threshold, min_question, min_answer) for t in part.column(at)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
