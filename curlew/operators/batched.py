@@ -8,7 +8,8 @@
   deep), then running votes serve every fold and every k.
 * Logistic regression: one column of coefficients for each (Repeat, Fold, trial); a pass
   over the rows gives the losses and gradients of all columns, and each column has a
-  quasi-Newton state of its own. Tables below ``LOCAL_BYTES`` are broadcast once and the
+  quasi-Newton state of its own. It starts from the curvature of all rows at the origin,
+  summed once for all columns, which takes a tenth of the passes. Tables below ``LOCAL_BYTES`` are broadcast once and the
   columns are dealt to tasks, which run the same optimiser on their share; larger ones
   stay where they are and every pass is a Spark job that sums partial gradients.
 
@@ -39,6 +40,10 @@ LOCAL_BYTES = 64 << 20
 STATE_BYTES = 256 << 20
 #: Pairs of steps and gradient changes kept for each column.
 MEMORY = 10
+#: Features up to which their curvature is summed (a matrix of this width squared).
+CURVED = 4096
+#: Rows of the curvature that are sent together.
+CURVED_ROWS = 256
 #: Rows of a dense block.
 BLOCK_ROWS = 2048
 #: Bytes of a model table up to which it is broadcast.
@@ -206,11 +211,13 @@ def knn_scores(data: DataFrame, folds: DataFrame, ks: list[int], nbits: int = 20
 # Logistic regression: all columns in one optimiser
 # ---------------------------------------------------------------------------
 
-def minimise(evaluate, start: np.ndarray, tol: float = 1e-7, max_iter: int = 2000) -> np.ndarray:
+def minimise(evaluate, start: np.ndarray, tol: float = 1e-7, max_iter: int = 2000, inverse=None) -> np.ndarray:
     """Columns of ``start``, each moved to the least value of its own smooth convex
     function. ``evaluate(points, columns)`` gives the values and gradients of some
     columns at once. Limited-memory BFGS with backtracking, column by column; a
-    column rests when its largest gradient is within ``tol`` of its scale."""
+    column rests when its largest gradient is within ``tol`` of its scale.
+    ``inverse(vectors, columns)`` may give the product with a rough inverse of the second
+    derivatives, from which the quasi-Newton steps start."""
     b = start.copy()
     p, m = b.shape
     f, g = evaluate(b, np.arange(m))
@@ -223,21 +230,23 @@ def minimise(evaluate, start: np.ndarray, tol: float = 1e-7, max_iter: int = 200
             break
         d, alpha = -g[:, live], np.zeros((MEMORY, len(live)))
         order = [(it - 1 - j) % MEMORY for j in range(min(it, MEMORY))]
-        inverse = np.where(curve[:, live] > 0, 1.0 / np.where(curve[:, live] > 0, curve[:, live], 1.0), 0.0)
+        per_curve = np.where(curve[:, live] > 0, 1.0 / np.where(curve[:, live] > 0, curve[:, live], 1.0), 0.0)
         for j in order:
-            alpha[j] = inverse[j] * (steps[j][:, live] * d).sum(axis=0)
+            alpha[j] = per_curve[j] * (steps[j][:, live] * d).sum(axis=0)
             d -= alpha[j] * turns[j][:, live]
-        if order:
+        if inverse is not None:
+            d = inverse(d, live)
+        elif order:
             last = order[0]
             yy = (turns[last][:, live] ** 2).sum(axis=0)
             d *= np.where(curve[last, live] > 0, curve[last, live] / np.where(yy > 0, yy, 1.0), 1.0)
         for j in reversed(order):
-            d += (alpha[j] - inverse[j] * (turns[j][:, live] * d).sum(axis=0)) * steps[j][:, live]
+            d += (alpha[j] - per_curve[j] * (turns[j][:, live] * d).sum(axis=0)) * steps[j][:, live]
         slope = (g[:, live] * d).sum(axis=0)
         up = slope >= 0
         d[:, up] = -g[:, live[up]]
         slope = (g[:, live] * d).sum(axis=0)
-        t = np.ones(len(live)) if it else 1.0 / np.maximum(1.0, np.sqrt(-slope))
+        t = np.ones(len(live)) if it or inverse is not None else 1.0 / np.maximum(1.0, np.sqrt(-slope))
         slot = it % MEMORY
         curve[slot] = 0.0
         open_ = np.arange(len(live))
@@ -335,16 +344,52 @@ def losses(rows: Rows, columns: Columns, b: np.ndarray) -> tuple[np.ndarray, np.
     return loss, g
 
 
-def fit_local(rows: Rows, columns: Columns, width: int, max_iter: int) -> np.ndarray:
+class Curvature:
+    """The second derivatives of the logistic losses at the origin, as eigenvalues and vectors,
+    from which those of every column follow: C times them, and 1 for the penalty."""
+
+    def __init__(self, values: np.ndarray, vectors: np.ndarray):
+        self.values, self.vectors = np.maximum(values, 0.0), vectors
+
+    def inverse(self, columns: Columns):
+        def product(d: np.ndarray, cols: np.ndarray) -> np.ndarray:
+            return self.vectors @ ((self.vectors.T @ d) / (columns.c[cols] * self.values[:, None] + 1.0))
+        return product
+
+
+def curvature(table: DataFrame, w0: float, w1: float, width: int) -> Curvature | None:
+    """Of all rows, with a weight for each class. As many tasks as the session has cores sum
+    their rows, so what is sent does not grow with the table. None for features out of range."""
+    def partial(batches):
+        total = np.zeros((width + 1, width + 1))
+        for batch in batches:
+            rows = Rows(batch, width)
+            for at, x in rows.blocks():
+                x = x.astype(np.float32)
+                total += x.T @ (x * (np.where(rows.y[at] == 1, w1, w0) / 4).astype(np.float32)[:, None])
+        for a in range(0, width + 1, CURVED_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array([a], pa.int32()), pa.array([total[a:a + CURVED_ROWS].tobytes()], pa.binary())], ["a", "part"])
+
+    def add(parts: pa.Table) -> pa.Table:
+        whole = sum(np.frombuffer(x.as_py()) for x in parts["part"])
+        return pa.table([parts["a"][:1], pa.array([whole.tobytes()], pa.binary())], ["a", "part"])
+
+    few = table.coalesce(table.sparkSession.sparkContext.defaultParallelism)
+    sums = few.mapInArrow(partial, "a int, part binary").groupBy("a").applyInArrow(add, "a int, part binary").collect()  # width / CURVED_ROWS rows
+    whole = np.vstack([np.frombuffer(bytes(r["part"])).reshape(-1, width + 1) for r in sorted(sums, key=lambda r: r["a"])])
+    return Curvature(*np.linalg.eigh(whole)) if np.isfinite(whole).all() else None
+
+
+def fit_local(rows: Rows, columns: Columns, width: int, max_iter: int, curved: Curvature | None = None) -> np.ndarray:
     def evaluate(b, cols):
         some = columns.take(cols)
         loss, g = losses(rows, some, some.raw(b))
         return some.penalised(b, loss, g)
 
-    return minimise(evaluate, np.zeros((width + 1, len(columns.c))), max_iter=max_iter)
+    return minimise(evaluate, np.zeros((width + 1, len(columns.c))), max_iter=max_iter, inverse=curved and curved.inverse(columns))
 
 
-def fit_spread(table: DataFrame, columns: Columns, width: int, max_iter: int) -> np.ndarray:
+def fit_spread(table: DataFrame, columns: Columns, width: int, max_iter: int, curved: Curvature | None = None) -> np.ndarray:
     """The same with a Spark job for each pass: tasks sum their rows' losses and gradients,
     groups of tasks are summed in a second stage, and the driver adds up the groups."""
     spark = table.sparkSession
@@ -372,7 +417,7 @@ def fit_spread(table: DataFrame, columns: Columns, width: int, max_iter: int) ->
         sent.unpersist()
         return some.penalised(b, whole[0], whole[1:])
 
-    return minimise(evaluate, np.zeros((width + 1, len(columns.c))), max_iter=max_iter)
+    return minimise(evaluate, np.zeros((width + 1, len(columns.c))), max_iter=max_iter, inverse=curved and curved.inverse(columns))
 
 
 def fold_ranges(tagged: DataFrame, width: int) -> dict:
@@ -433,16 +478,22 @@ def logistic_scores(data: DataFrame, folds: DataFrame, cs: list[float], nbits: i
 
     small = is_local(n, width, None if dense else table.agg(F.sum(F.size("x"))).first()[0] or 0, len(keys), spark.sparkContext.defaultParallelism, LOCAL_BYTES if local_bytes is None else local_bytes)
     at_once = max(1, STATE_BYTES // ((width + 1) * 8 * (2 * MEMORY + 8)))
+    curved = None
+    if width < CURVED and not scale:
+        every = columns_of(keys)
+        curved = curvature(table, float(every.w0.mean()), float(every.w1.mean()), width)
     if small:
-        sent = spark.sparkContext.broadcast(table.toArrow())
-        share = min(at_once, max(1, -(-len(keys) // (2 * spark.sparkContext.defaultParallelism))))
+        sent = spark.sparkContext.broadcast((table.toArrow(), curved))
+        # a task unfolds the rows once for its columns: few columns go round once, many twice
+        tasks = spark.sparkContext.defaultParallelism * (2 if len(keys) >= 8 * spark.sparkContext.defaultParallelism else 1)
+        share = min(at_once, max(1, -(-len(keys) // tasks)))
         chunks = [keys[a:a + share] for a in range(0, len(keys), share)]
         plans = spark.sparkContext.broadcast([columns_of(c) for c in chunks])
 
         def fit(batches):
             for batch in batches:
                 for i in batch.column(0).to_pylist():
-                    b = fit_local(Rows(sent.value, width), plans.value[i], width, max_iter)
+                    b = fit_local(Rows(sent.value[0], width), plans.value[i], width, max_iter, sent.value[1])
                     yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([b.tobytes()], pa.binary())], ["chunk", "b"])
 
         jobs = spark.range(0, len(chunks), 1, len(chunks)).mapInArrow(fit, "chunk int, b binary")
@@ -450,7 +501,7 @@ def logistic_scores(data: DataFrame, folds: DataFrame, cs: list[float], nbits: i
         fitted = [(c, found[i]) for i, c in enumerate(chunks)]
     else:
         chunks = [keys[a:a + at_once] for a in range(0, len(keys), at_once)]
-        fitted = [(c, fit_spread(table, columns_of(c), width, max_iter)) for c in chunks]
+        fitted = [(c, fit_spread(table, columns_of(c), width, max_iter, curved)) for c in chunks]
     out = None
     for some, b in fitted if not small else [(keys, np.hstack([b for _, b in fitted]))]:
         plan = columns_of(some)
