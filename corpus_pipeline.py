@@ -33,7 +33,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed corpus as token ids, read back: doc_id, start, n_tokens, ids_crc32."""
     path = scratch_path(spark, "pipeline-tokens")
-    tokens.write_tokens(docs, path, queries.tokenizer_path(), queries.END_ID, kept_words=150_000)
+    tokens.write_tokens(docs, path, queries.tokenizer_path(), queries.END_ID, kept_words=50_000, slice_bytes=1 << 20, keep_cache=False)
     return tokens.read_tokens(spark, path, with_ids=False)
 
 

@@ -333,6 +333,10 @@ class Encoder:
             self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
             self.marks = {m: self._whole([m])[0] for m in ("", *".,;:!?")}
 
+    def forget(self) -> None:
+        """Empties the cache."""
+        self.new, self.old = {"": b""}, {}
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(g.ids, "<u4").tobytes() for g in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
@@ -434,7 +438,7 @@ _BLOCK = pa.schema([("file", pa.int32()), ("block", pa.int32()), ("ids", pa.int6
 BLOCKS = "file int, block int, ids long, doc_ids array<long>, lengths array<int>, payload binary"
 
 
-def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int, kept_words: int):
+def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int, kept_words: int, slice_bytes: int, keep_cache: bool):
     @releasing
     def run(batches):
         from pyspark import TaskContext
@@ -452,7 +456,7 @@ def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int,
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
 
         for batch in batches:
-            for part in few(batch, 1, _SLICE_BYTES):
+            for part in few(batch, 1, slice_bytes):
                 names = part.column(0).to_pylist()
                 ids, totals = encoder.encode(part.column(1), end_id)
                 ends = np.cumsum(totals)
@@ -474,13 +478,17 @@ def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int,
                     first = last
         if keys:
             yield block()
+        if not keep_cache:
+            encoder.forget()
     return run
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text",
-                 by_word: bool = True, files: int | None = None, block_ids: int = BLOCK_IDS, kept_words: int = _CACHE_LIMIT) -> None:
+                 by_word: bool = True, files: int | None = None, block_ids: int = BLOCK_IDS, kept_words: int = _CACHE_LIMIT, slice_bytes: int = _SLICE_BYTES, keep_cache: bool = True) -> None:
     """Write the ids of all documents, in ascending order of id, as a corpus of blocks.
-    ``kept_words`` (of a generation of the word cache) trades a worker's memory for time."""
+    ``kept_words`` (of a generation of the word cache) and ``slice_bytes`` (texts that are
+    encoded together) trade a worker's memory for time; without ``keep_cache`` a worker
+    holds no words between its tasks. The corpus is the same."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the borders of the files come from the ids alone, so the texts are read once
@@ -490,7 +498,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
         file = F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(borders))]), lambda b: b < F.col("doc_id"))), F.lit(0))
         file = F.when(F.col("doc_id").isNull(), files - 1).otherwise(file)
     dealt = rows.repartitionById(files, file.cast("int")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
-    dealt.mapInArrow(_block_writer(tokenizer, end_id, by_word, block_ids, kept_words), BLOCKS).write.option("compression", "none").parquet(path)
+    dealt.mapInArrow(_block_writer(tokenizer, end_id, by_word, block_ids, kept_words, slice_bytes, keep_cache), BLOCKS).write.option("compression", "none").parquet(path)
 
 
 def _block_starts(blocks: DataFrame) -> DataFrame:

@@ -479,3 +479,19 @@ def test_word_cache_keeps_two_generations_of_its_size():
         a, b = small.encode(t, 2), large.encode(t, 2)
         assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
     assert len(small.new) + len(small.old) < 80 and not large.old
+
+
+def test_small_slices_without_a_cache_write_the_same_corpus(spark, monkeypatch):
+    from curlew.llm import queries, tokens
+    rows = [(i, " ".join(f"word{(i * j) % 97}x{j % 5}" for j in range(60)), "s") for i in range(40)] + [(90, None, "s")]
+    got = []
+    for more in ({}, {"kept_words": 50, "slice_bytes": 500, "keep_cache": False}):
+        path = scratch_path(spark, "t-tokens")
+        tokens.write_tokens(docs(spark, rows), path, queries.tokenizer_path(), files=2, block_ids=300, **more)
+        got.append(sorted(tuple(r) for r in spark.read.schema(tokens.BLOCKS).parquet(path).collect()))
+    assert got[0] == got[1]
+    encoder = tokens._encoder(queries.tokenizer_path(), True, 51)
+    encoder.encode(pa.array(["some words"]))
+    assert len(encoder.new) > 1
+    encoder.forget()
+    assert len(encoder.new) == 1 and not encoder.old
