@@ -30,7 +30,7 @@ def good_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "op1-tokens")
-    tokens.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path(), END_ID, kept_words=1_200_000)
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path(), END_ID, kept_words=600_000)
     return tokens.read_tokens(spark, path, with_ids=False)
 
 

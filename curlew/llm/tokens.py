@@ -295,9 +295,11 @@ def decode_block(payload: bytes) -> np.ndarray:
     return ids
 
 
-# letters whose case and form need no table beyond Latin, and one mark after them
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-_CACHE_LIMIT = 400_000  # words of a generation, two of them a worker
+# letters whose case and form need no table beyond Latin, and marks, each of which ends a piece of letters
+_SIMPLE = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+_LETTERS = "".join(c for c in map(chr, range(0x100)) if re.match(_SIMPLE, c))
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_CACHE_LIMIT = 400_000  # parts of words of a generation, two of them a worker
 _SLICE_BYTES = 4 << 20  # texts that are encoded together
 _CHUNK = 50
 
@@ -308,9 +310,10 @@ class Encoder:
     ``by_word`` is for tokenizers of the kind of word_bpe_49k, which drop white
     space, level case, part letters from marks before the model sees them, and end
     each piece with ``</w>``: the ids of a text are then those of its space-separated
-    words, one after the other. Each new word is tokenized once and kept in a cache
-    of two generations, so that frequent words stay when it is full; runs of letters
-    go to the tokenizer without the steps that would not change them.
+    words, one after the other, and the ids of letters with marks after them are those
+    of the letters and of the marks. Each new part is tokenized once and kept in a
+    cache of two generations, so that frequent parts stay when it is full; runs of
+    letters go to the tokenizer without the steps that would not change them.
     ``by_word=False`` encodes whole texts."""
 
     def __init__(self, path: str, by_word: bool = True, kept_words: int = _CACHE_LIMIT):
@@ -328,10 +331,9 @@ class Encoder:
             vocabulary = self.plain.get_vocab()
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-            # the model's letters for bytes
+            # the model's letters for bytes, none of which is a letter that has them
             level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-            self.letters = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
-            self.marks = {m: self._whole([m])[0] for m in ("", *".,;:!?")}
+            self.letters = {chr(c): level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
 
     def forget(self) -> None:
         """Empties the cache."""
@@ -342,7 +344,12 @@ class Encoder:
 
     def _letters(self, runs: list[str]) -> list[bytes]:
         """Ids of runs of small letters, each of which is one piece for the model."""
-        chunks = [" ".join([r if r.isascii() else r.translate(self.letters) for r in runs[a:a + _CHUNK]]) for a in range(0, len(runs), _CHUNK)]
+        text = " ".join(runs)
+        if not text.isascii():
+            for letter, model in self.letters.items():
+                text = text.replace(letter, model)
+        written = text.split(" ")
+        chunks = [" ".join(written[a:a + _CHUNK]) for a in range(0, len(runs), _CHUNK)]
         ids = np.concatenate([np.array(g.ids, "<u4") for g in self.plain.encode_batch_fast(chunks, add_special_tokens=False)])
         ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
         if len(ends) != len(runs):
@@ -350,38 +357,33 @@ class Encoder:
         body = ids.tobytes()
         return [body[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
-    def _learn(self, words: list[str]) -> None:
-        new, old, marks = self.new, self.old, self.marks
-        runs, marked, other = [], [], []
-        for word in words:
-            if (got := old.get(word)) is not None:
-                new[word] = got
-                continue
-            if word.isalpha():
-                core, mark = word, ""
-            else:
-                core, mark = word[:-1], word[-1]
-            if not (core.isascii() and core.isalpha() and mark in marks):
-                m = _SIMPLE.fullmatch(word)
-                if m is None:
-                    other.append(word)
-                    continue
-                core, mark = m.groups()
-            core = core.lower()
-            if core != word:
-                marked.append((word, core, mark))
-            if core not in new:
-                if (got := old.get(core)) is not None:
-                    new[core] = got
-                else:
-                    runs.append(core)
-        runs = list(dict.fromkeys(runs))
-        if runs:
-            new.update(zip(runs, self._letters(runs), strict=True))
-        if other:
-            new.update(zip(other, self._whole(other), strict=True))
-        for word, core, mark in marked:
-            new[word] = new[core] + marks[mark]
+    def _kept(self, parts: pa.Array) -> list[bytes]:
+        """Ids of parts of words, which are in the cache afterwards."""
+        names = _strings(parts)
+        ids = list(map(self.new.get, names))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        if gaps:
+            simple = pc.match_substring_regex(parts.take(pa.array(gaps)), _SIMPLE).to_numpy(zero_copy_only=False).tolist()
+            runs, other = [], []
+            for i, letters in zip(gaps, simple, strict=True):
+                ids[i] = self.old.get(names[i])
+                if ids[i] is None:
+                    (runs if letters else other).append(i)
+            for at, of in ((runs, self._letters), (other, self._whole)):
+                if at:
+                    for i, got in zip(at, of([names[i] for i in at]), strict=True):
+                        ids[i] = got
+            self.new.update(zip(map(names.__getitem__, gaps), map(ids.__getitem__, gaps), strict=True))
+        return ids
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of words: those of their letters, in lower case, and of the marks after them; other words are one part."""
+        core = pc.utf8_rtrim(words, _MARKS)
+        simple = pc.match_substring_regex(core, _SIMPLE)
+        core = pc.if_else(simple, pc.utf8_lower(core), words).dictionary_encode()
+        marks = pc.if_else(simple, pc.utf8_ltrim(words, _LETTERS), "").dictionary_encode()
+        ids = pa.array(self._kept(pa.concat_arrays([core.dictionary, marks.dictionary])), pa.large_binary())
+        return pc.binary_join_element_wise(ids.take(core.indices), ids.slice(len(core.dictionary)).take(marks.indices), pa.scalar(b"", pa.large_binary()))
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and the number of each text's."""
@@ -398,27 +400,20 @@ class Encoder:
         words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         per_text = np.diff(words.offsets.to_numpy())
         coded = words.flatten().dictionary_encode()
-        # no word holds a space
-        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary), " ")
-        different = joined[0].as_py().split(" ")
-        ids = list(map(self.new.get, different))
-        gaps = [i for i, x in enumerate(ids) if x is None]
-        if gaps:
-            self._learn([different[i] for i in gaps])
-            for i in gaps:
-                ids[i] = self.new[different[i]]
-        ids.append(end)
-        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        start = np.cumsum(length) - length
-        flat = np.frombuffer(b"".join(ids), "<u4")
+        ids = pa.concat_arrays([self._words(coded.dictionary), pa.array([end], pa.large_binary())])
         # each text is its words and the end id
-        index = np.insert(coded.indices.to_numpy().astype(np.int64), np.cumsum(per_text), len(different))
-        size = length.take(index)
-        upto = np.cumsum(size)
-        where = np.repeat(start.take(index) - (upto - size), size)
-        where += np.arange(len(where))
-        totals = np.diff(upto.take(np.cumsum(per_text + 1) - 1), prepend=0)
-        return flat.take(where), totals
+        index = np.insert(coded.indices.to_numpy(), np.cumsum(per_text), len(ids) - 1)
+        flat = ids.take(pa.array(index))
+        _, offsets, body = flat.buffers()
+        upto = np.frombuffer(offsets, np.int64, len(flat) + 1) // 4
+        totals = np.diff(upto.take(np.cumsum(per_text + 1)), prepend=0)
+        return np.frombuffer(body, "<u4", int(upto[-1])), totals
+
+
+def _strings(words: pa.Array) -> list[str]:
+    """The words, none of which holds a space."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")
+    return joined[0].as_py().split(" ") if len(words) else []
 
 
 _encoders: dict[tuple[str, bool, int], Encoder] = {}

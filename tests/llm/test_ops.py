@@ -495,3 +495,17 @@ def test_small_slices_without_a_cache_write_the_same_corpus(spark, monkeypatch):
     assert len(encoder.new) > 1
     encoder.forget()
     assert len(encoder.new) == 1 and not encoder.old
+
+
+def test_letters_and_marks_are_kept_apart():
+    from tokenizers import Tokenizer
+
+    from curlew.llm import queries, tokens
+    text = "Straße word, Word!! WORD.$$$ (word ab1. don't. é÷. x<|y ab\t. Σας. İx. é. 12."
+    encoder = tokens.Encoder(queries.tokenizer_path())
+    ids, totals = encoder.encode(pa.array([text, "word. Ãé...", None, ""]), 2)
+    whole = Tokenizer.from_file(queries.tokenizer_path())
+    want = [whole.encode(t, add_special_tokens=False).ids + [2] for t in (text, "word. Ãé...", "", "")]
+    assert ids.tolist() == sum(want, []) and totals.tolist() == list(map(len, want))
+    assert {"word", ",", "!!", ".$$$", "...", "ãé"} <= set(encoder.new)
+    assert not {"word,", "word!!", "Word", "word."} & set(encoder.new)
