@@ -317,7 +317,7 @@ class Encoder:
     ``by_word=False`` encodes whole texts."""
 
     def __init__(self, path: str, by_word: bool = True, kept_words: int = _CACHE_LIMIT):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
@@ -325,10 +325,9 @@ class Encoder:
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         if by_word:
-            self.plain = Tokenizer.from_file(path)
-            self.plain.normalizer = normalizers.Sequence([])
+            self.plain = Tokenizer(self.tokenizer.model)  # the model is held once
             self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-            vocabulary = self.plain.get_vocab()
+            vocabulary = self.tokenizer.get_vocab()
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
             # the model's letters for bytes, none of which is a letter that has them
@@ -475,6 +474,7 @@ def _block_writer(path: str, end_id: int | None, by_word: bool, block_ids: int,
             yield block()
         if not keep_cache:
             encoder.forget()
+            _encoders.pop((path, by_word, kept_words), None)
     return run
 
 

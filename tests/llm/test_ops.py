@@ -509,3 +509,17 @@ def test_letters_and_marks_are_kept_apart():
     assert ids.tolist() == sum(want, []) and totals.tolist() == list(map(len, want))
     assert {"word", ",", "!!", ".$$$", "...", "ãé"} <= set(encoder.new)
     assert not {"word,", "word!!", "Word", "word."} & set(encoder.new)
+
+
+def test_a_task_without_cache_leaves_no_encoder(monkeypatch):
+    from types import SimpleNamespace
+
+    from pyspark import TaskContext
+
+    from curlew.llm import queries, tokens
+    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", None])], ["doc_id", "text"])
+    for keep in (True, False):
+        run = tokens._block_writer(queries.tokenizer_path(), 2, True, 300, 61, 500, keep)
+        assert [b.num_rows for b in run(iter([batch]))] == [1]
+        assert ((queries.tokenizer_path(), True, 61) in tokens._encoders) == keep
