@@ -3,6 +3,7 @@ their passes (inventory 27, 82, 84, 85, 88-91, 93)."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -187,7 +188,9 @@ def q_svm_scores(spark, sf):
     probability and the label that it calls for."""
     d = cut_lineage(MD.bits_to_vector(curated_split_fp(spark, sf)))
     train, test = d.filter("split = 'train'"), d.filter("split = 'test'")
-    scored = [MD.final_fit_score(train, test, "SVM", {"kernel": k}).withColumn("Kernel", F.lit(k)) for k in KERNELS]
+    # side by side: a fit is one task, or a chain of jobs that leave cores idle between them
+    with ThreadPoolExecutor(len(KERNELS)) as ex:
+        scored = list(ex.map(lambda k: MD.final_fit_score(train, test, "SVM", {"kernel": k}).withColumn("Kernel", F.lit(k)), KERNELS))
     p = F.col("Predicted_Probability")
     right = p.between(0, 1) & (F.col("Predicted_Label") == M.threshold_predict(p, 0.5))
     return reduce(DataFrame.unionByName, scored).where(right).select("id", "Kernel", F.col("True_Label").cast("int").alias("True_Label"))
